@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logspark.fixed import AUDIT_FIELDS, AUDIT_FIELDS_LONG, AUDIT_FIELDS_SHORT
+from logspark.functions.binding import with_fields
 from logspark.functions.ip import canon_ip
 
 # A token runs to the next space; a parenthesis keeps spaces until it is closed.
@@ -38,15 +39,21 @@ def parse_snoopy(df: DataFrame, col: str = "syslog_message", error: str = "_erro
         F.regexp_replace(F.substr(tail, F.instr(tail, ":") + 1), r"\n+$", ""),
     ).otherwise(F.lit(""))
 
-    out = df.withColumn("__m", message).withColumn("__close", close)
-    out = out.withColumn("__t", F.regexp_extract_all(header, F.lit(TOKENS), F.lit(1))).withColumn("__cmd", cmd)
+    out = with_fields(
+        df,
+        [
+            message.alias("__m"),
+            close.alias("__close"),
+            F.regexp_extract_all(header, F.lit(TOKENS), F.lit(1)).alias("__t"),
+            cmd.alias("__cmd"),
+        ],
+    )
     long, short = F.size("__t") == 10, F.size("__t") == 5
     reason = (
         F.when(~F.startswith("__m", F.lit("[")), F.lit("audit header missing"))
         .when(F.col("__close") == 0, F.lit("audit header not closed"))
         .when(~(long | short), F.lit("audit field count"))
     )
-    out = out.withColumn("__e", reason)
 
     def field(name: str) -> Column:
         value = F.lit("")
@@ -59,16 +66,16 @@ def parse_snoopy(df: DataFrame, col: str = "syslog_message", error: str = "_erro
             value = F.when(long, _after_colon(F.get("__t", F.lit(AUDIT_FIELDS_LONG.index(name))))).otherwise(value)
         return value
 
-    out = out.withColumn("__ssh_text", F.when(long, F.split(F.get("__t", F.lit(1)), r"\(")))
+    parts = F.when(long, F.split(F.get("__t", F.lit(1)), r"\("))
+    out = with_fields(out, [reason.alias("__e"), parts.alias("__ssh_text")])
     ssh_named = F.startswith(F.get("__ssh_text", F.lit(0)), F.lit("ssh")) & (F.size("__ssh_text") == 2)
-    out = out.withColumn("__ssh", F.when(ssh_named, F.split(F.trim(F.get("__ssh_text", F.lit(1))), r"\s+")))
-    out = out.withColumn("__dst", F.get("__ssh", F.lit(2))).withColumn("__src", F.get("__ssh", F.lit(0)))
+    out = with_fields(out, [F.when(ssh_named, F.split(F.trim(F.get("__ssh_text", F.lit(1))), r"\s+")).alias("__ssh")])
+    out = with_fields(out, [F.get("__ssh", F.lit(2)).alias("__dst"), F.get("__ssh", F.lit(0)).alias("__src")])
     has_ssh = F.coalesce(F.size("__ssh") == 4, F.lit(False))
     ok = F.col("__e").isNull() & F.col("__m").isNotNull()
     fields = {name: field(name) for name in AUDIT_FIELDS if name != "cmd"}
     fields["cmd"] = F.col("__cmd")
-    return out.select(
-        *[c for c in df.columns if c != error],
+    columns = [
         *[F.when(ok, fields[name]).alias(name) for name in AUDIT_FIELDS],
         F.when(
             ok & has_ssh,
@@ -80,4 +87,5 @@ def parse_snoopy(df: DataFrame, col: str = "syslog_message", error: str = "_erro
             ),
         ).alias("ssh"),
         F.col("__e").alias(error),
-    )
+    ]
+    return with_fields(out, columns, [c for c in df.columns if c != error])

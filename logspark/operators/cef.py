@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from logspark.functions.binding import with_fields
 from logspark.functions.ip import canon_ip
 
 CEF_COLUMNS = ("DeviceVendor", "DeviceProduct", "DeviceVersion", "SignatureID", "Name", "Severity")
@@ -24,10 +25,11 @@ def parse_cef(df: DataFrame, col: str = "syslog_message", error: str = "_error")
             F.startswith(F.col(col), F.lit("CEF: ")), F.regexp_replace(F.col(col), r"^[CEF: ]+", "")
         ).otherwise(F.col(col))
     )
-    out = df.withColumn("__c", F.split(body, r"\|", 8))
+    out = with_fields(df, [F.split(body, r"\|", 8).alias("__c")])
     text = F.get("__c", F.lit(7))
-    out = out.withColumn("__k", F.regexp_extract_all(text, F.lit(PAIRS), F.lit(1))).withColumn(
-        "__v", F.regexp_extract_all(text, F.lit(PAIRS), F.lit(2))
+    out = with_fields(
+        out,
+        [F.regexp_extract_all(text, F.lit(PAIRS), F.lit(i)).alias(name) for i, name in ((1, "__k"), (2, "__v"))],
     )
     last = F.size("__k") - 1
     lone = F.size("__k") == 1
@@ -41,26 +43,23 @@ def parse_cef(df: DataFrame, col: str = "syslog_message", error: str = "_error")
     keep = F.filter(
         F.transform("__k", lambda key, i: F.when(kept(key, i), i)), lambda i: i.isNotNull()
     )
-    out = out.withColumn("__i", keep).withColumn(
-        "Extensions",
-        F.map_from_arrays(
-            F.transform("__i", lambda i: F.get("__k", i)), F.transform("__i", lambda i: F.get("__v", i))
-        ),
-    )
+    out = with_fields(out, [keep.alias("__i")])
+    keys, values = F.transform("__i", lambda i: F.get("__k", i)), F.transform("__i", lambda i: F.get("__v", i))
+    out = with_fields(out, [F.map_from_arrays(keys, values).alias("__x")])
     reason = F.when(F.size("__c") != 8, F.lit("CEF field count")).when(
-        F.coalesce(F.size("Extensions"), F.lit(0)) < 1, F.lit("CEF without extensions")
+        F.coalesce(F.size("__x"), F.lit(0)) < 1, F.lit("CEF without extensions")
     )
-    out = out.withColumn("__e", reason)
+    out = with_fields(out, [reason.alias("__e")])
     ok = F.col("__e").isNull()
     # a header part may itself be empty; it stays empty
     stray = F.exists("__v", lambda v: v.rlike(r"(?<!\\)="))
-    return out.select(
-        *[c for c in df.columns if c != error],
+    columns = [
         *[F.when(ok, F.get("__c", F.lit(i + 1))).alias(name) for i, name in enumerate(CEF_COLUMNS)],
-        F.when(ok, F.col("Extensions")).alias("Extensions"),
+        F.when(ok, F.col("__x")).alias("Extensions"),
         F.when(ok & stray, F.lit("unescaped equals sign in a value")).alias("_warn"),
         F.col("__e").alias(error),
-    )
+    ]
+    return with_fields(out, columns, [c for c in df.columns if c != error])
 
 
 def cef_endpoints(df: DataFrame) -> DataFrame:

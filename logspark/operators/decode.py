@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logspark.fixed import AUDIT_FIELDS, DYNAMIC_KINDS, SYSLOG_FIELDS, SYSMON_CHANNEL
+from logspark.functions.binding import with_fields
 from logspark.functions.dynamic import dot_number, dot_string, json_path, parse_object
 from logspark.functions.ip import canon_ip
 from logspark.functions.times import offset_text, offset_time, plain_time, rfc3339
@@ -27,9 +28,9 @@ def repair_json(df: DataFrame, col: str = "value") -> DataFrame:
 
     Adds ``broken`` and ``fixed`` flags; a row still broken keeps its text and gets ``_error``.
     """
-    out = df.withColumn("broken", parse_object(col).isNull())
-    out = out.withColumn("__r", F.when(F.col("broken"), repaired_text(F.col(col))))
-    out = out.withColumn("fixed", F.col("broken") & parse_object("__r").isNotNull())
+    out = with_fields(df, [parse_object(col).isNull().alias("broken")])
+    out = with_fields(out, [F.when(F.col("broken"), repaired_text(F.col(col))).alias("__r")])
+    out = with_fields(out, [(F.col("broken") & parse_object("__r").isNotNull()).alias("fixed")])
     return out.select(
         *[c for c in df.columns if c != col],
         F.when(F.col("fixed"), F.col("__r")).otherwise(F.col(col)).alias(col),
@@ -44,7 +45,8 @@ def known_time(df: DataFrame, col: str = "value", prefer_syslog: bool = False) -
 
     A field that is present must parse, or the row is a reject.
     """
-    out = df.withColumn("__o", F.from_json(F.when(parse_object(col).isNotNull(), F.col(col)), KNOWN_TIMES))
+    whole = F.when(parse_object(col).isNotNull(), F.col(col))
+    out = with_fields(df, [F.from_json(whole, KNOWN_TIMES).alias("__o")])
     fields = {
         "EventReceivedTime": plain_time,
         "EventTime": plain_time,
@@ -56,9 +58,8 @@ def known_time(df: DataFrame, col: str = "value", prefer_syslog: bool = False) -
     for name in fields:
         error = error.when(F.col("__o")[name].isNotNull() & parsed[name].isNull(), F.lit(f"bad {name}"))
     best = parsed["@timestamp"] if prefer_syslog else F.coalesce(*parsed.values())
-    return out.select(
-        *df.columns, F.when(error.isNull(), best).alias("known_time"), error.alias("_error")
-    )
+    out = with_fields(out, [error.alias("_error")], [*df.columns, "__o"])
+    return with_fields(out, [F.when(F.col("_error").isNull(), best).alias("known_time")], [*df.columns, "_error"])
 
 
 def suricata_ts(col: Column) -> Column:
@@ -106,7 +107,7 @@ def decode(df: DataFrame, col: str = "value") -> DataFrame:
     Text fields of the struct kinds must be JSON strings; a number there rejects the row, as
     does a present but unreadable ``@timestamp``.
     """
-    out = df.withColumn("v", parse_object(col))
+    out = with_fields(df, [parse_object(col).alias("v")])
     struct_kind = F.col("kind").isin("syslog", "snoopy")
     texts = list(SYSLOG_FIELDS) + list(AUDIT_FIELDS)
     not_text = F.lit(False)
@@ -119,8 +120,8 @@ def decode(df: DataFrame, col: str = "value") -> DataFrame:
         .when(struct_kind & not_text, F.lit("text field is not a string"))
         .when(struct_kind & bad_time, F.lit("bad @timestamp"))
     )
-    out = out.withColumn("_error", error)
-    return out.withColumn("rec", F.when(F.col("_error").isNull() & struct_kind, _record()))
+    out = with_fields(out, [error.alias("_error")])
+    return with_fields(out, [F.when(F.col("_error").isNull() & struct_kind, _record()).alias("rec")])
 
 
 def parse_zeek_notes(df: DataFrame, col: str = "value") -> DataFrame:
@@ -150,7 +151,7 @@ def sysmon_process_network(df: DataFrame, col: str = "value", numeric_ids: bool
     JSON strings unless ``numeric_ids`` is set.
     """
     out = df.filter(F.contains(F.col(col), F.lit(SYSMON_CHANNEL.split("/")[0])))
-    out = out.withColumn("v", parse_object(col))
+    out = with_fields(out, [parse_object(col).alias("v")])
     event_id = dot_string("v", "winlog.event_id", strict=True)
     if numeric_ids:
         event_id = F.coalesce(event_id, dot_number("v", "winlog.event_id", strict=True).cast("bigint").cast("string"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logspark.fixed import AUDIT_FIELDS, CEF_HOSTS
+from logspark.functions.binding import with_fields
 from logspark.functions.dynamic import parse_object
 from logspark.functions.times import rfc3339_text
 from logspark.operators.audit import parse_snoopy
@@ -49,20 +50,16 @@ def normalize_syslog(
     unless named in ``keep``, in which case their parsed form becomes ``json``.
     """
     parsed = parse_rfc5424(df, col, now)
-    parsed = parsed.withColumnRenamed("_error", "__line").withColumn(
-        "payload_type",
-        F.when(
-            F.col("__line").isNull(),
-            payload_type(F.col("syslog_host"), F.col("syslog_program"), F.col("syslog_message")),
-        ),
-    )
+    parsed = parsed.withColumnRenamed("_error", "__line")
+    found = payload_type(F.col("syslog_host"), F.col("syslog_program"), F.col("syslog_message"))
+    parsed = with_fields(parsed, [F.when(F.col("__line").isNull(), found).alias("payload_type")])
     kind = F.col("payload_type")
     parsed = parsed.withColumn("__audit_in", F.when(kind == "snoopy", F.col("syslog_message")))
     parsed = parse_snoopy(parsed, "__audit_in", error="__audit")
     cee = cee_payload(F.col("syslog_message"))
     unsupported = F.lit("unsupported payload")
     bad_cee = parse_object("__cee").isNull()
-    parsed = parsed.withColumn("__cee", cee)
+    parsed = with_fields(parsed, [cee.alias("__cee")])
     if "cef" in keep:
         parsed = parsed.withColumn("__cef_in", F.when(kind == "cef", F.col("syslog_message")))
         parsed = parse_cef(parsed, "__cef_in", error="__cef")
@@ -91,8 +88,8 @@ def normalize_syslog(
         .when(kind == "cef", cef_json)
         .otherwise(F.col("__cee"))
     )
-    parsed = parsed.withColumn("_error", error)
-    parsed = parsed.withColumn("json", F.when(F.col("_error").isNull(), json))
+    parsed = with_fields(parsed, [error.alias("_error")])
+    parsed = with_fields(parsed, [F.when(F.col("_error").isNull(), json).alias("json")])
     return parsed.drop("__line", "__audit_in", "__audit", "__cee", "__cef_in", "__cef")
 
 

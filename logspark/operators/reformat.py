@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from logspark.functions.binding import with_fields
 from logspark.functions.dynamic import parse_object
 
 # Short key of the old layout -> key of the new one.
@@ -42,10 +43,9 @@ def reformat(df: DataFrame, family: str, col: str = "value") -> DataFrame:
     text = F.col(col)
     if family != "linux":
         text = F.replace(F.replace(text, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
-    out = df.withColumn("__t", text)
-    out = out.withColumn(
-        "__o", F.from_json(F.when(parse_object("__t").isNotNull(), F.col("__t")), "map<string,variant>")
-    )
+    out = with_fields(df, [text.alias("__t")])
+    whole = F.when(parse_object("__t").isNotNull(), F.col("__t"))
+    out = with_fields(out, [F.from_json(whole, "map<string,variant>").alias("__o")])
     has = lambda key: F.map_contains_key("__o", key)
     absent = F.lit(False)
     for key in RENAMED:
@@ -69,8 +69,8 @@ def reformat(df: DataFrame, family: str, col: str = "value") -> DataFrame:
         error = error.when(program.isNull(), F.lit("missing key")).when(
             audit & ~has("message"), F.lit("missing key")
         )
-        out = out.withColumn("__short", F.when(audit, body.rlike(AUDIT_SHORT)))
-        out = out.withColumn("__long", F.when(audit & ~F.col("__short"), body.rlike(AUDIT_LONG)))
+        out = with_fields(out, [F.when(audit, body.rlike(AUDIT_SHORT)).alias("__short")])
+        out = with_fields(out, [F.when(audit & ~F.col("__short"), body.rlike(AUDIT_LONG)).alias("__long")])
         ssh_text = F.regexp_extract(body, AUDIT_LONG, 2)
         ssh_parts = F.split(F.trim(F.regexp_replace(ssh_text, r"^\(+|\)+$", "")), r"\s+")
         ssh_known = ~F.contains(ssh_text, F.lit("undefined"))
@@ -131,7 +131,7 @@ def reformat(df: DataFrame, family: str, col: str = "value") -> DataFrame:
         error = error.when(clash, F.lit("key collision"))
         merged = F.map_concat(kept, head, message)
 
-    out = out.withColumn("_error", error)
+    out = with_fields(out, [error.alias("_error")])
     good = F.col("_error").isNull()
     return out.select(
         *[c for c in df.columns if c != col],

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logspark.fixed import FACILITIES, SEVERITIES
+from logspark.functions.binding import with_fields
 from logspark.functions.times import rfc3339
 
 SEP = "\x01"
@@ -48,7 +49,7 @@ def parse_rfc5424(
     parts = _header(F.col(col), HEADER, REWRITE)
     if best_effort:
         parts = F.coalesce(parts, _header(F.col(col), LOOSE, LOOSE_REWRITE))
-    out = df.withColumn("__p", parts)
+    out = with_fields(df, [parts.alias("__p")])
 
     def part(i: int) -> Column:
         return F.get("__p", F.lit(i))
@@ -56,7 +57,7 @@ def parse_rfc5424(
     def text(i: int) -> Column:
         return F.when(part(i) == "-", F.lit("")).otherwise(F.coalesce(part(i), F.lit("")))
 
-    out = out.withColumn("__pri", part(1).try_cast("int")).withColumn("__ts", rfc3339(part(2)))
+    out = with_fields(out, [part(1).try_cast("int").alias("__pri"), rfc3339(part(2)).alias("__ts")])
     no_time = part(2) == "-"
     if best_effort:
         no_time = F.col("__ts").isNull()
@@ -65,17 +66,17 @@ def parse_rfc5424(
         .when(F.col("__pri") > 191, F.lit("priority out of range"))
         .when(F.col("__ts").isNull() & ~no_time, F.lit("bad timestamp"))
     )
-    ok = error.isNull()
-    return out.select(
-        *df.columns,
+    out = with_fields(out, [error.alias("_error")])
+    ok = F.col("_error").isNull()
+    fields = [
         F.when(ok, F.coalesce("__ts", now)).alias("event_time"),
         F.when(ok, text(3)).alias("syslog_host"),
         F.when(ok, text(4)).alias("syslog_program"),
         F.when(ok, _label(F.col("__pri").bitwiseAND(F.lit(7)), SEVERITIES)).alias("syslog_severity"),
         F.when(ok, _label(F.shiftright("__pri", 3), FACILITIES)).alias("syslog_facility"),
         F.when(ok, F.coalesce(part(5), F.lit(""))).alias("syslog_message"),
-        error.alias("_error"),
-    )
+    ]
+    return with_fields(out, fields, [*df.columns, "_error"])
 
 
 def is_cee(message: Column) -> Column:
@@ -95,7 +96,7 @@ def parse_bsd_syslog(df: DataFrame, col: str = "value") -> DataFrame:
     """pri, ts, host, program, pid, message and the re-printed line; ``_error`` on no match."""
     done = F.regexp_replace(F.col(col), F.lit(BSD), F.lit(BSD_REWRITE))
     matched = F.startswith(done, F.lit(SEP)) & ~F.startswith(F.col(col), F.lit(SEP))
-    out = df.withColumn("__p", F.when(matched, F.split(done, SEP, 7)))
+    out = with_fields(df, [F.when(matched, F.split(done, SEP, 7)).alias("__p")])
 
     def part(i: int, default: str = "") -> Column:
         value = F.get("__p", F.lit(i))

@@ -57,7 +57,7 @@ def attach(events: DataFrame, lookup: Lookup, on: Column, out: str, spread: list
         F.pmod(mixed, F.lit(SALTS))
     )
     probe = probe.withColumn("__salt", salt)
-    dim = dim.withColumn("__dsalt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+    dim = dim.withColumn("__dsalt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
     joined = probe.join(
         dim, (F.col("__probe") == F.col("__key")) & (F.col("__salt") == F.col("__dsalt")), "left"
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logspark.fixed import DIRECTIONS, SYSLOG_FIELDS
+from logspark.functions.binding import with_fields
 from logspark.functions.dynamic import dot_string
 from logspark.functions.ip import canon_ip
 from logspark.functions.joins import Lookup, as_lookup, attach
@@ -55,7 +56,7 @@ def template_fields() -> list[Column]:
 
 def blank_asset(df: DataFrame) -> DataFrame:
     """Add host, ip, has_src, has_dest, src_ip and dest_ip to a decoded frame."""
-    return df.select("*", *template_fields())
+    return with_fields(df, template_fields())
 
 
 def _template(host: Column, ip: Column) -> Column:
@@ -225,16 +226,13 @@ def enrich(
     """Envelope with ``kind`` -> envelope, event_time, ``GameMeta``, host_missed, sigma_state, ``_error``."""
     carried = list(events.columns)
     decoded = decode(events, col)
-    slim = decoded.select(
-        *carried,
-        "v",
-        "rec",
-        "_error",
+    fields = [
         *template_fields(),
         event_technique().alias("technique"),
         event_data(use_signature).alias("event_data"),
         event_time().alias("event_time"),
-    )
+    ]
+    slim = with_fields(decoded, fields, [*carried, "v", "rec", "_error"])
     slim = match_rules(slim, rules or [], sysmon_rules).drop("v")
     out = join_endpoints(join_assets(slim, index), index)
     out = direction(fill_techniques(out, techniques))
@@ -253,15 +251,8 @@ def enrich(
         F.col("dest").alias("Dest"),
     )
     ok = F.col("_error").isNull()
-    return out.select(
-        *carried,
-        "event_time",
-        "rec",
-        F.when(ok, meta).alias("GameMeta"),
-        "host_missed",
-        "sigma_state",
-        "_error",
-    )
+    kept = [*carried, "event_time", "rec", "host_missed", "sigma_state", "_error"]
+    return with_fields(out, [F.when(ok, meta).alias("GameMeta")], kept)
 
 
 def emit(require_technique: bool = False) -> Column:

@@ -62,6 +62,6 @@ def _probe(df: DataFrame, segments: DataFrame, col: str, max_bytes: int) -> Data
     else:
         # a busy segment is spread over many tasks; the segment table is repeated per salt
         rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-        named = named.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+        named = named.withColumn("__salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
         hit = rows.join(named, on + ["__salt"]).drop("__salt")
     return hit.select(*df.columns, "family", "prefix", "network_id", "network", "vlan")

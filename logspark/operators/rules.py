@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logspark.fixed import KINDS
+from logspark.functions.binding import with_fields
 from logspark.operators.fields import keywords, select_sql
 from logspark.schemas import TECHNIQUE
 
@@ -163,16 +164,20 @@ def match_rules(df: DataFrame, rules: list[Rule], sysmon_rules: bool = False) ->
     has_rules = F.col("kind").isin(*kinds) if kinds else F.lit(False)
     if "windows" in kinds:
         has_rules = has_rules | (F.col("kind") == "sysmon")
-    out = df.withColumn("__keywords", keywords())
-    out = out.select("*", *extracted)
-    out = out.select(*df.columns, *[test.alias(flag) for flag, test, _ in hits], has_rules.alias("__has"))
+    out = with_fields(df, [keywords().alias("__keywords")])
+    if extracted:
+        out = with_fields(out, extracted)
+    flags = [test.alias(flag) for flag, test, _ in hits] + [has_rules.alias("__has")]
+    out = with_fields(out, flags, df.columns)
     results = _chunked([F.when(F.col(flag), _result(rule)) for flag, _, rule in hits], f"cast(array() as array<{RESULT}>)")
     named = _chunked(techniques, f"cast(array() as array<array<{TECHNIQUE}>>)")
-    out = out.select(
-        *df.columns,
-        "__has",
-        F.when(F.col("__has"), results).alias("sigma_results"),
-        F.when(F.col("__has"), F.flatten(named)).alias("sigma_techniques"),
+    out = with_fields(
+        out,
+        [
+            F.when(F.col("__has"), results).alias("sigma_results"),
+            F.when(F.col("__has"), F.flatten(named)).alias("sigma_techniques"),
+        ],
+        [*df.columns, "__has"],
     )
     matched = F.size("sigma_results") > 0
     return out.select(

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("q_parse",)
+MODULES = ("q_parse", "q_enrich")
 
 
 def load_all() -> None:

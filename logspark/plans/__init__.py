@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("q_parse", "q_enrich")
+MODULES = ("q_parse", "q_enrich", "q_inventory", "q_sources", "q_time")
 
 
 def load_all() -> None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from logspark.functions.binding import with_fields
 from logspark.functions.ip import address_halves, canon_ip, cidr_address, cidr_prefix, masked
 from logspark.functions.joins import BROADCAST_BYTES, SALTS, as_lookup, attach, measured_bytes
 
@@ -16,9 +17,9 @@ from logspark.functions.joins import BROADCAST_BYTES, SALTS, as_lookup, attach,
 def network_segments(networks: DataFrame) -> DataFrame:
     """One row per CIDR of each network: id, name, vlan, family, prefix, hi, lo."""
     both = networks.withColumn("cidr", F.explode(F.array_compact(F.array("ipv4", "ipv6"))))
-    addr = cidr_address(F.col("cidr"))
-    out = both.withColumn("prefix", cidr_prefix(F.col("cidr"))).withColumn("h", address_halves(addr))
-    out = out.filter(F.col("h").isNotNull()).withColumn("n", masked(F.col("h"), F.col("prefix")))
+    out = with_fields(both, [cidr_prefix(F.col("cidr")).alias("prefix"), cidr_address(F.col("cidr")).alias("addr")])
+    out = with_fields(out.filter(F.col("addr").isNotNull()), [address_halves(F.col("addr")).alias("h")])
+    out = with_fields(out, [masked(F.col("h"), F.col("prefix")).alias("n")])
     return out.select("id", "name", "vlan", "cidr", "n.family", "prefix", "n.hi", "n.lo")
 
 
@@ -44,10 +45,11 @@ def tag_network(
 def _probe(df: DataFrame, segments: DataFrame, col: str, max_bytes: int) -> DataFrame:
     lengths = [(r["family"], r["prefix"]) for r in segments.select("family", "prefix").distinct().collect()]
     by_family = {f: sorted(p for g, p in lengths if g == f) for f in (4, 6)}
-    rows = df.withColumn("__h", address_halves(canon_ip(F.col(col)))).filter(F.col("__h").isNotNull())
+    rows = with_fields(df, [canon_ip(F.col(col)).alias("__ip")])
+    rows = with_fields(rows.filter(F.col("__ip").isNotNull()), [address_halves(F.col("__ip")).alias("__h")])
     v4, v6 = (F.array(*[F.lit(p) for p in by_family[f]]).cast("array<int>") for f in (4, 6))
     rows = rows.withColumn("__prefix", F.explode(F.when(F.col("__h.family") == 4, v4).otherwise(v6)))
-    rows = rows.withColumn("__n", masked(F.col("__h"), F.col("__prefix")))
+    rows = with_fields(rows, [masked(F.col("__h"), F.col("__prefix")).alias("__n")])
     on = ["family", "prefix", "hi", "lo"]
     rows = rows.select(
         *df.columns,

@@ -72,17 +72,18 @@ def field_tags(assets: DataFrame, prefix: str, ip: str = "ip", order: str = "seq
 
 def inventory_facts(facts: DataFrame) -> DataFrame:
     """Usable facts: rows with data and a version; the version list is joined by dots."""
-    return facts.filter(F.col("fqdn").isNotNull() & F.col("pythonversion").isNotNull()).withColumn(
-        "pythonversion", F.array_join(F.col("pythonversion").cast("array<string>"), ".")
-    ).withColumn("year", F.year("updated"))
+    usable = facts.filter(F.col("fqdn").isNotNull() & F.col("pythonversion").isNotNull())
+    version = F.array_join(F.col("pythonversion").cast("array<string>"), ".")
+    return usable.withColumn("pythonversion", version).withColumn("year", F.year("updated"))
 
 
 def dual_write(facts: DataFrame, history_path: str, latest_path: str) -> None:
-    """Append every fact to the yearly history and rewrite the newest row per machine.
+    """Append usable facts to the yearly history and write the newest row per machine.
 
-    The latest view is written to a new folder (``latest_path``) from prior-plus-new rows by the
-    caller's choice of ``facts``; nothing is overwritten in place.
+    ``latest_path`` must be a new folder; the newest rows are taken over the whole history, so the
+    view covers machines that sent nothing this time.
     """
     rows = inventory_facts(facts)
     rows.write.mode("append").partitionBy("year").parquet(history_path)
-    latest_by(rows, "fqdn", "updated").write.mode("errorifexists").parquet(latest_path)
+    history = facts.sparkSession.read.schema(rows.schema).parquet(history_path)
+    latest_by(history, "fqdn", "updated").write.mode("errorifexists").parquet(latest_path)

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("q_parse", "q_enrich", "q_inventory", "q_sources", "q_time")
+MODULES = ("q_parse", "q_sources", "q_inventory", "q_enrich", "q_views", "q_time", "q_outputs", "q_streams")
 
 
 def load_all() -> None:

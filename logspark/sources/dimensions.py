@@ -10,26 +10,26 @@ from logspark.schemas import INVENTORY, NETWORKS, RECORD, SID_MAP, STIX_BUNDLE,
 
 
 def load_techniques(spark: SparkSession, path: str) -> DataFrame:
-    """ID, Name, URL, Phases of every live attack pattern in a STIX bundle; last one wins per id.
+    """ID, Name, URL, Phases of every live attack pattern in STIX bundles; last one wins per id.
 
-    The bundle is one JSON document, so one task parses it; Spark's reader splits it no further.
+    A bundle is one JSON document. Several bundle files count in the order of their names.
     """
     bundle = spark.read.schema(STIX_BUNDLE).option("multiLine", True).json(path)
-    return techniques_of(bundle)
+    return techniques_of(bundle.select("objects", F.col("_metadata.file_path").alias("doc")))
 
 
 def techniques_of(bundle: DataFrame) -> DataFrame:
-    objects = bundle.select(F.posexplode("objects").alias("pos", "o"))
+    objects = bundle.select("doc", F.posexplode("objects").alias("pos", "o"))
     live = objects.filter((F.col("o.type") == "attack-pattern") & ~F.coalesce("o.revoked", F.lit(False)))
     phases = F.transform(
         F.filter("o.kill_chain_phases", lambda p: p["kill_chain_name"] == "mitre-attack"), lambda p: p["phase_name"]
     )
     phases = F.when(F.size("o.kill_chain_phases") > 0, phases)
     refs = live.select(
-        "pos", F.col("o.name").alias("Name"), phases.alias("Phases"), F.posexplode("o.external_references").alias("rpos", "r")
+        "doc", "pos", F.col("o.name").alias("Name"), phases.alias("Phases"), F.posexplode("o.external_references").alias("rpos", "r")
     ).filter(F.col("r.source_name") == "mitre-attack")
     row = F.struct("Name", F.col("r.url").alias("URL"), "Phases")
-    last = refs.groupBy(F.col("r.external_id").alias("ID")).agg(F.max_by(row, F.struct("pos", "rpos")).alias("t"))
+    last = refs.groupBy(F.col("r.external_id").alias("ID")).agg(F.max_by(row, F.struct("doc", "pos", "rpos")).alias("t"))
     return last.select("ID", "t.*")
 
 

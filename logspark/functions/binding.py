@@ -21,5 +21,8 @@ def with_fields(df: DataFrame, fields: list[Column], keep: list[str] | None = No
     Written as a one-row ``inline``: a later filter on a computed column stays above it. Through a
     plain projection the optimizer would copy the whole definition into the filter, again for each
     mention, and long parse chains would grow without end. Filters on input columns still move down.
+    The values are computed by a projection, which is compiled; the ``inline`` only unpacks them.
     """
-    return df.select(*(df.columns if keep is None else keep), F.inline(F.array(F.struct(*fields))))
+    kept = df.columns if keep is None else keep
+    packed = df.select(*kept, F.struct(*fields).alias("__packed"))
+    return packed.select(*kept, F.inline(F.array("__packed")))

@@ -19,6 +19,8 @@ ADVISED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # long plans: do not record the Python call site of every single Column
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

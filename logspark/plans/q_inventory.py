@@ -10,7 +10,10 @@ from logspark.plans.catalog import EV, RECORDS, ip_sql, query
 from logspark.plans.render import text
 from logspark.sources import dimensions as dim
 
-NOW = F.timestamp_seconds(F.lit(1704153600))
+
+def now_at():
+    return F.timestamp_seconds(F.lit(1704153600))
+
 R = "WITH " + RECORDS
 VC = f"""vc AS (
     SELECT 1706745600+s_suppkey AS ts, 'vm_'||s_suppkey AS name, {ip_sql('s_suppkey', '11')} AS ip FROM supplier WHERE s_suppkey%3<>0
@@ -53,7 +56,7 @@ def d4(spark, sf):
     prior = names.filter(s % 4 == 0).select(F.col("vm").alias("name"), F.concat(F.lit("pool-"), text(s * 4)).alias("rename"),
                                             seen.alias("first_seen"), seen.alias("last_seen"))
     pool = render.table(spark, sf, "part").select(F.concat(F.lit("pool-"), text(F.col("p_partkey"))).alias("name"))
-    out, registry = ps.pseudonymize(names, "vm", pool, prior, now=NOW)
+    out, registry = ps.pseudonymize(names, "vm", pool, prior, now=now_at())
     kept = out.join(prior.select("name", F.col("rename").alias("old")), "name", "left")
     outside = out.join(pool.select(F.col("name").alias("rename")), "rename", "left_anti").agg(F.count(F.lit(1))).scalar()
     return kept.agg(
@@ -135,7 +138,7 @@ def d11(spark, sf):
 
 @query("d12_recent", R + "SELECT seq FROM rec WHERE 1704153600 - updated < 86390")
 def d12(spark, sf):
-    return inv.updated_within(render.records(spark, sf), 86390, NOW).select("seq")
+    return inv.updated_within(render.records(spark, sf), 86390, now_at()).select("seq")
 
 
 NETS = "nets AS (SELECT n_nationkey AS id, n_name AS name, n_nationkey*16 AS lo, n_nationkey*16+15 AS hi, 28 AS prefix FROM nation UNION ALL SELECT 100, 'wide', 0, 255, 24)"

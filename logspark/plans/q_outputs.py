@@ -12,7 +12,10 @@ from logspark.plans.q_enrich import NAMED, _enriched
 from logspark.sinks import outputs as out
 from logspark.sources.logfiles import read_logs
 
-NOW = F.timestamp_seconds(F.lit(1704153600))
+
+def now_at():
+    return F.timestamp_seconds(F.lit(1704153600))
+
 
 
 @query("k1_route", NAMED + """, e AS (SELECT kind, kind IN ('syslog','snoopy') OR ids IS NOT NULL AS emit FROM res LEFT JOIN attack USING (event_id))
@@ -54,7 +57,7 @@ def k3(spark, sf):
 def k4(spark, sf):
     ev = render.base_events(spark, sf)
     ts = F.when(F.col("k") % 13 != 0, F.col("ts"))
-    name = out.index_name("logs", F.concat(F.lit("raw."), F.col("kind"), F.lit(" _x")), ts, NOW)
+    name = out.index_name("logs", F.concat(F.lit("raw."), F.col("kind"), F.lit(" _x")), ts, now_at())
     return ev.groupBy(name.alias("index_name")).agg(F.count(F.lit(1)).alias("n"))
 
 

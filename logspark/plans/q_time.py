@@ -9,7 +9,10 @@ from logspark.plans import render
 from logspark.plans.catalog import EV, query
 from logspark.plans.render import LINES_PER_FILE as N
 
-B, E = F.lit("2024-01-05 06:00:00").cast("timestamp"), F.lit("2024-01-20 18:30:00").cast("timestamp")
+def period():
+    return F.lit("2024-01-05 06:00:00").cast("timestamp"), F.lit("2024-01-20 18:30:00").cast("timestamp")
+
+
 BS, ES = "TIMESTAMP '2024-01-05 06:00:00'", "TIMESTAMP '2024-01-20 18:30:00'"
 HOUR = 3_600_000_000
 RB, RE = "TIMESTAMP '1997-01-01 00:00:00'", "TIMESTAMP '1997-06-01 00:00:00'"
@@ -18,7 +21,7 @@ RB, RE = "TIMESTAMP '1997-01-01 00:00:00'", "TIMESTAMP '1997-06-01 00:00:00'"
 @query("t1_locate_bin", EV + f"SELECT CAST(ceil((epoch_us({ES})-epoch_us({BS}))/{7 * HOUR}.0) AS BIGINT) - CAST(trunc((epoch_us({ES})-epoch_us(ts))/{7 * HOUR}.0) AS BIGINT) - 1 AS bin, count(*) AS n FROM ev GROUP BY 1")
 def t1(spark, sf):
     ev = render.base_events(spark, sf)
-    return ev.groupBy(tl.locate_bin(F.col("ts"), B, E, 7 * HOUR).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return ev.groupBy(tl.locate_bin(F.col("ts"), *period(), 7 * HOUR).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("t2_bounds", f"SELECT o_orderkey, epoch_us(b) AS bound_us FROM orders, unnest(generate_series(o_orderdate, o_orderdate + to_days(CAST(o_orderkey%5 AS INTEGER)), INTERVAL 36 HOUR)) u(b)")
@@ -73,7 +76,7 @@ SEEK = EV + f""", f AS (SELECT event_id//{N} AS path, min(ts) AS a, max(ts) AS b
 
 def _seek(spark, sf):
     timed = tl.timed_lines(render.time_lines(spark, sf))
-    return timed, tl.seek(timed, render.file_table(spark, sf), B, E)
+    return timed, tl.seek(timed, render.file_table(spark, sf), *period())
 
 
 @query("t6_seek", SEEK + "SELECT CAST(path AS VARCHAR) AS path, partial, CASE WHEN partial IN ('tail','middle') THEN coalesce(s, 0) ELSE 0 END AS beginning, CASE WHEN partial IN ('head','middle') THEN coalesce(e, lines) ELSE lines END AS end_no FROM p")
@@ -100,4 +103,4 @@ def t8(spark, sf):
 def t9(spark, sf):
     timed = tl.timed_lines(render.time_lines(spark, sf)).filter(F.col("_error").isNull())
     files = render.file_table(spark, sf).withColumn("beginning", F.lit(1)).withColumn("enabled", F.lit(True))
-    return tl.start_gap(timed, files, B).select("dir", "path", "gap_us")
+    return tl.start_gap(timed, files, period()[0]).select("dir", "path", "gap_us")

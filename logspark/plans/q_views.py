@@ -12,7 +12,10 @@ from logspark.plans import render
 from logspark.plans.catalog import RECORDS, ip_sql, query
 from logspark.plans.render import text
 
-NOW = F.timestamp_seconds(F.lit(1704153600))
+
+def now_at():
+    return F.timestamp_seconds(F.lit(1704153600))
+
 I = f"""WITH ind AS (SELECT c_custkey AS seq, CASE c_custkey%8 WHEN 0 THEN 'src_ip' WHEN 1 THEN 'dest_ip' WHEN 2 THEN 'tls.ja3.hash' WHEN 3 THEN 'tls.ja3s.hash'
       WHEN 4 THEN 'tls.sni' WHEN 5 THEN 'http.hostname' WHEN 6 THEN 'bogus' ELSE '' END AS type,
     CASE WHEN c_custkey%8<2 THEN CASE WHEN c_custkey%24=0 THEN 'not-ip' ELSE {ip_sql('(c_custkey%500)')} END
@@ -32,7 +35,7 @@ def _valid(spark, sf):
 
 
 def _registry(spark, sf):
-    return ioc.register_iocs(_valid(spark, sf), render.prior_indicators(spark, sf), NOW)
+    return ioc.register_iocs(_valid(spark, sf), render.prior_indicators(spark, sf), now_at())
 
 
 @query("i1_validate", I + "SELECT seq, error FROM val")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logspark.llm import mixing, sharding, simhash
+from logspark.llm import html_text, mixing, sharding, simhash, warc
 from logspark.llm.common import WORD, table, word_count
 
 SHARDS = 40
@@ -16,6 +16,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), fingerprint, "component_id")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "record_id")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     slim = docs.select(
@@ -40,5 +45,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op6_sharding, op9_mixing)}
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_warc, op6_sharding, op9_mixing, op10_html)}
 ORACLES: dict[str, str] = {}

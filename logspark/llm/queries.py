@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logspark.llm import html_text, mixing, sharding, simhash, warc
+from logspark.llm import html_text, mixing, perplexity, sharding, simhash, warc
 from logspark.llm.common import WORD, table, word_count
 
 SHARDS = 40
@@ -21,6 +21,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "record_id")
 
 
+def op4_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.assess(table(spark, sf_dir, "documents"))
+    measures = [F.col(f"__{m}").alias(m) for m in perplexity.MEASURES]
+    verdict = [F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept")]
+    log_perplexity = (F.col("__bin") / perplexity.BINS).alias("log_perplexity")
+    return judged.select("doc_id", *measures, *verdict, "lang", log_perplexity)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     slim = docs.select(
@@ -49,5 +57,5 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_warc, op6_sharding, op9_mixing, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_warc, op4_perplexity, op6_sharding, op9_mixing, op10_html)}
 ORACLES: dict[str, str] = {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logspark.llm import html_text, mixing, perplexity, sharding, simhash, warc
+from logspark.llm import hmm, html_text, mixing, perplexity, sharding, simhash, warc
 from logspark.llm.common import WORD, table, word_count
 
 SHARDS = 40
@@ -29,6 +29,10 @@ def op4_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *measures, *verdict, "lang", log_perplexity)
 
 
+def op5_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     slim = docs.select(
@@ -57,5 +61,5 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_warc, op4_perplexity, op6_sharding, op9_mixing, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_warc, op4_perplexity, op5_hmm, op6_sharding, op9_mixing, op10_html)}
 ORACLES: dict[str, str] = {}

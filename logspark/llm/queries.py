@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logspark.llm import hmm, html_text, mixing, perplexity, sharding, simhash, warc
+from logspark.llm import hmm, html_text, mixing, perplexity, pieces, sharding, simhash, warc
 from logspark.llm.common import WORD, table, word_count
 
 SHARDS = 40
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,17 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = pieces.encode(docs, PIECE_MODEL)
+    return cut.select(
+        "doc_id",
+        F.col("__ids").alias("ids"),
+        F.size("__ids").cast("bigint").alias("n_pieces"),
+        F.col("__lossless").alias("lossless"),
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), word_count(F.col("text")))
     return mixed.select(
@@ -61,5 +73,5 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_warc, op4_perplexity, op5_hmm, op6_sharding, op9_mixing, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_warc, op4_perplexity, op5_hmm, op6_sharding, op7_pieces, op9_mixing, op10_html)}
 ORACLES: dict[str, str] = {}

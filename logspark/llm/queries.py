@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logspark.llm import hmm, html_text, mixing, perplexity, pieces, sharding, simhash, warc
+import corpus_pipeline
+from logspark.llm import hmm, html_text, lines, mixing, neighbours, perplexity, pieces, sharding, simhash, warc
 from logspark.llm.common import WORD, table, word_count
 
 SHARDS = 40
@@ -22,6 +23,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "record_id")
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.cut_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_deleted = F.coalesce(F.size("__deleted"), F.lit(0)).cast("bigint").alias("n_deleted")
+    return cut.select("doc_id", n_deleted, F.col("__deleted").alias("deleted_lines"), F.col("__left").alias("text"))
+
+
 def op4_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = perplexity.assess(table(spark, sf_dir, "documents"))
     measures = [F.col(f"__{m}").alias(m) for m in perplexity.MEASURES]
@@ -58,6 +65,11 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(rows, rows.where("vec_id % 100 = 0"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), word_count(F.col("text")))
     return mixed.select(
@@ -73,5 +85,22 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_warc, op4_perplexity, op5_hmm, op6_sharding, op7_pieces, op9_mixing, op10_html)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+OPERATORS = (
+    op1_simhash,
+    op2_warc,
+    op3_lines,
+    op4_perplexity,
+    op5_hmm,
+    op6_sharding,
+    op7_pieces,
+    op8_neighbours,
+    op9_mixing,
+    op10_html,
+    pipeline,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 ORACLES: dict[str, str] = {}

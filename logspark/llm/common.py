@@ -24,6 +24,16 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(df: DataFrame, added: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, str], list[str]]:
+    """``df`` with columns c0, c1 …, the new name of each, and the old names, for operators that add columns of their own.
+
+    A column with the name of one of ``added``, which the operator returns, is left out: the operator's takes its place.
+    """
+    old = [c for c in df.columns if c not in added]
+    new = {c: f"c{i}" for i, c in enumerate(old)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in new.items()]), new, old
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

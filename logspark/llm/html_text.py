@@ -52,9 +52,11 @@ LINK_DENSITY = 0.5
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
-    r"|(?P<text>[^<]+|<)",
+    r"|(?P<text>[^<]+|<(?![a-zA-Z/!?]))",
     re.S,
 )
+# a tag whose quotes never close ends at the next bracket
+_LOOSE = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z]*)(?P<attrs>[^>]*)>?(?P<text>)(?P<cdata>)")
 _RAW = re.compile(r"script|style|textarea|title|iframe|noscript|noframes|xmp")
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAMES = re.compile(r"[a-z]+")
@@ -102,11 +104,7 @@ def blocks_of(page: str) -> list[tuple[str, int, float, bool]]:
 
     pos, end = 0, len(page)
     while pos < end:
-        found = _TOKEN.match(page, pos)
-        if found is None:  # a tag whose quotes never close: read it up to the next bracket
-            stop = page.find(">", pos)
-            pos = end if stop < 0 else stop + 1
-            continue
+        found = _TOKEN.match(page, pos) or _LOOSE.match(page, pos)
         pos = found.end()
         text = found["text"] or found["cdata"]
         if text:
@@ -116,7 +114,7 @@ def blocks_of(page: str) -> list[tuple[str, int, float, bool]]:
                 if links:
                     linked += len(" ".join(text.split()))
             continue
-        if found["tag"] is None:
+        if not found["tag"]:
             continue
         tag = found["tag"].lower()
         if tag in BLOCKS:

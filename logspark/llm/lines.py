@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logspark.llm.common import WORD, saved
+from logspark.llm.common import WORD, apart, saved
 
 # a line of fewer words is too common to tell that two documents overlap; it can still be part of an aligned block
 ANCHOR_WORDS = 5
@@ -150,6 +150,8 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     null included. A text all of whose lines go becomes empty. Rows that repeat id and text are one document and treated
     alike. No rows: no rows.
     """
+    docs, new, old = apart(docs, ("__deleted", "__left"))
+    id_col, text_col = new[id_col], new[text_col]
     spots = saved(common_lines(docs, id_col, text_col), "lines-deleted")
     gone = spots.select(
         F.col("key.id").alias("__id"), F.col("key.mark").alias("__mark"), F.col("spots").alias("__deleted")
@@ -159,4 +161,5 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
     split = F.split(text_col, "\n")
     left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("__deleted", i)), "\n")
-    return marked.withColumn("__left", F.when(F.col("__deleted").isNull(), F.col(text_col)).otherwise(left)).drop("__id", "__mark")
+    left = F.when(F.col("__deleted").isNull(), F.col(text_col)).otherwise(left).alias("__left")
+    return marked.select(*docs.columns, "__deleted", left).toDF(*old, "__deleted", "__left")

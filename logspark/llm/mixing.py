@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logspark.llm.common import saved
+from logspark.llm.common import apart, saved, word_count
 
 BUCKETS = 4096
+ADDED = ("__size", "__source_size", "__target", "__repeats")
 
 
 def fill_targets(sources: DataFrame, share: float, max_epochs: float) -> DataFrame:
@@ -48,7 +51,8 @@ def cyclic_weights(sources: DataFrame, weights: tuple[float, ...]) -> DataFrame:
 
 def mix(
     docs: DataFrame,
-    size: Column,
+    size: Callable[[Column], Column] = word_count,
+    text_col: str = "text",
     id_col: str = "doc_id",
     source_col: str = "source",
     weights: tuple[float, ...] = (3.0, 1.0, 2.0),
@@ -64,7 +68,9 @@ def mix(
     Null sources are a source; null, empty texts have size 0 and are taken with the whole rounds only. Rows with
     equal id and size have equal order and are taken together. No rows: no rows.
     """
-    own = docs.withColumn("__size", size).withColumn("__hash", F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col)))
+    docs, new, old = apart(docs, ADDED)
+    id_col, source_col = new[id_col], new[source_col]
+    own = docs.withColumn("__size", size(F.col(new[text_col]))).withColumn("__hash", F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col)))
     own = own.withColumn("__bucket", F.pmod(F.col("__hash"), F.lit(BUCKETS)).cast("int"))
     slim = saved(own.select(F.col(source_col).alias("source"), "__bucket", "__hash", "__size"), "mixing-sizes")
     sums = slim.groupBy("source", "__bucket").agg(F.sum("__size").alias("n"))
@@ -110,11 +116,11 @@ def mix(
     cuts = saved(cuts, "mixing-cuts")
     mixed = own.join(cuts, F.col(source_col).eqNullSafe(F.col("__source")))
     mixed = mixed.withColumn("__repeats", F.col("whole") + F.coalesce(taken, F.lit(0)))
-    return mixed.select(*docs.columns, "__size", "__source_size", "__target", "__repeats")
+    return mixed.select(*docs.columns, *ADDED).toDF(*old, *ADDED)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """The mix itself: each row of ``mix``'s result as often as it is taken, without the ``__``-columns."""
-    plain = [c for c in mixed.columns if c not in ("__size", "__source_size", "__target", "__repeats")]
+    plain = [c for c in mixed.columns if c not in ADDED]
     often = mixed.where("__repeats > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats").cast("int"))))
     return often.select(*plain)

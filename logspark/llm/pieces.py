@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from logspark.llm.common import slices
+from logspark.llm.common import apart, slices
 
 SPACE = "▁"
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
@@ -291,7 +291,9 @@ def encode(docs: DataFrame, model_path: str, key_col: str = "doc_id", text_col:
     vocabulary = load_vocabulary(model_path)
     names = [n for n in vocabulary.__dataclass_fields__]
     shared = docs.sparkSession.sparkContext.broadcast([getattr(vocabulary, n) for n in names])
-    taken = docs.select(*docs.columns, F.coalesce(F.col(key_col).cast("string"), F.lit("")).alias("__key"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    own_docs, new, old = apart(docs, ("__ids", "__lossless"))
+    key, text = F.col(new[key_col]).cast("string"), F.col(new[text_col]).cast("string")
+    taken = own_docs.select("*", F.coalesce(key, F.lit("")).alias("__key"), F.coalesce(text, F.lit("")).alias("__text"))
 
     def run(batches):
         own = Vocabulary(*shared.value)
@@ -306,8 +308,8 @@ def encode(docs: DataFrame, model_path: str, key_col: str = "doc_id", text_col:
             kept = [batch[i] for i in range(batch.num_columns - 2)]
             yield pa.RecordBatch.from_arrays([*kept, lists, pa.array(lossless, pa.bool_())], [*batch.schema.names[:-2], "__ids", "__lossless"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields)
-    return taken.mapInArrow(run, fields + "__ids array<int>, __lossless boolean")
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in own_docs.schema.fields)
+    return taken.mapInArrow(run, fields + "__ids array<int>, __lossless boolean").toDF(*old, "__ids", "__lossless")
 
 
 def decode_ids(encoded: DataFrame, model_path: str, ids_col: str = "__ids") -> DataFrame:

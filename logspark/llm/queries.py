@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from logspark.llm import hmm, html_text, lines, mixing, neighbours, perplexity, pieces, sharding, simhash, warc
-from logspark.llm.common import WORD, table, word_count
+from logspark.llm.common import table
 
 SHARDS = 40
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -71,7 +71,7 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), word_count(F.col("text")))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
         "doc_id",
         F.col("__size").alias("size"),

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logspark.llm.common import saved
+from logspark.llm.common import apart, saved
 
 VNODES = 64
 RING = 1 << 32
@@ -71,6 +71,8 @@ def place(keys: DataFrame, key: str, shards: int, balance: float = 1.0, vnodes:
     Only one count per arc reaches the driver: ``shards * vnodes`` numbers. Ranks within an arc come from cells of about
     ``CELL_ROWS`` rows, so no task sorts a whole arc. No rows: no rows.
     """
+    keys, new, old = apart(keys, ("shard", "slot"))
+    key = new[key]
     ring = make_ring(shards, vnodes, seed)
     spark = keys.sparkSession
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
@@ -118,4 +120,4 @@ def place(keys: DataFrame, key: str, shards: int, balance: float = 1.0, vnodes:
         *keys.columns,
         F.col("__span.shard").alias("shard"),
         (F.col("__span.base") + F.col("__rank") - F.col("__span.first")).alias("slot"),
-    )
+    ).toDF(*old, "shard", "slot")

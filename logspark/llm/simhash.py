@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logspark.llm.common import saved, text_bytes
+from logspark.llm.common import apart, saved, text_bytes
 from logspark.llm.components import components
 
 RADIUS = 2
@@ -142,8 +142,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Of rows that repeat this id one stays, the one with the smallest text; a group whose ids are all null keeps one row.
     """
+    docs, new, old = apart(docs)
+    id_col, text_col = new[id_col], new[text_col]
     groups = near_groups(docs, id_col, text_col).where(F.col("id").eqNullSafe(F.col("component_id")))
     winners = groups.select(F.col("id").alias("__winner")).distinct()
     order = Window.partitionBy("__winner").orderBy(F.col(text_col).asc_nulls_first())
     kept = docs.join(winners, F.col(id_col).eqNullSafe(F.col("__winner")))
-    return kept.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select(*[docs[c] for c in docs.columns])
+    return kept.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select(*docs.columns).toDF(*old)

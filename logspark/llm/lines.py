@@ -156,7 +156,8 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     gone = spots.select(
         F.col("key.id").alias("__id"), F.col("key.mark").alias("__mark"), F.col("spots").alias("__deleted")
     )
-    marked = docs.join(
+    # always a merge join: the plan, and what is shuffled, is then the same at every size
+    marked = docs.hint("merge").join(
         gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__mark")), "left"
     )
     split = F.split(text_col, "\n")

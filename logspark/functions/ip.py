@@ -12,10 +12,10 @@ from logspark.functions.binding import let
 
 # Address shapes.
 OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-IPV4 = rf"^{OCTET}(\.{OCTET}){{3}}$"
-IPV6_CHARS = r"^[0-9A-Fa-f:.]+$"
-IPV6_GROUP = r"^[0-9A-Fa-f]{1,4}$"
-IPV4_TAIL = rf"^(.*:){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}$"
+IPV4 = rf"^{OCTET}(\.{OCTET}){{3}}\z"
+IPV6_CHARS = r"^[0-9A-Fa-f:.]+\z"
+IPV6_GROUP = r"^[0-9A-Fa-f]{1,4}\z"
+IPV4_TAIL = rf"^(.*:){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}\z"
 
 
 def _hex_tail(col: Column) -> Column:
@@ -115,7 +115,7 @@ def cidr_address(col: Column) -> Column:
 
 def cidr_prefix(col: Column) -> Column:
     """Prefix length of a CIDR text, null when missing or out of range."""
-    length = F.regexp_extract(col, r"^[^/]+/(0|[1-9][0-9]{0,2})$", 1).try_cast("int")
+    length = F.regexp_extract(col, r"^[^/]+/(0|[1-9][0-9]{0,2})\z", 1).try_cast("int")
     limit = F.when(F.contains(F.substring_index(col, "/", 1), F.lit(":")), 128).otherwise(32)
     return F.when(length <= limit, length)
 

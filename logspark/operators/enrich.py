@@ -266,21 +266,12 @@ def emit(require_technique: bool = False) -> Column:
     return block.isNotNull()
 
 
-OLD_META = r'(?s)^(.*),\s*"GameMeta"\s*:\s*\{.*\}\s*\}\s*$'
-
-
 def to_output(df: DataFrame, col: str = "value") -> DataFrame:
-    """Replace ``value`` by the enriched JSON.
+    """Replace ``value`` by the enriched JSON: the event's own fields and ``GameMeta``, the block's null fields included.
 
-    Struct kinds are printed from their fields. Dynamic kinds keep their own text, with
-    ``GameMeta`` spliced in before the closing brace; a block left by an earlier run sits last
-    and is taken out first.
+    Struct kinds are printed from their fields, unset ones left out. Dynamic kinds keep the fields of their text; a
+    ``GameMeta`` among them, wherever it stands, is replaced by the new block. Blocks deeper inside stay.
     """
-    meta = F.to_json("GameMeta")
-    raw = F.regexp_replace(F.col(col), F.lit(OLD_META), F.lit("$1}"))
-    body = F.regexp_replace(raw, r"\s*\}\s*$", "")
-    glue = F.when(body.rlike(r"^\s*\{\s*$"), F.lit("")).otherwise(F.lit(","))
-    spliced = F.concat(body, glue, F.lit('"GameMeta":'), meta, F.lit("}"))
     stamp = rfc3339_text(rec("timestamp")).alias("@timestamp")
     syslog = [rec(name).alias(name) for name in SYSLOG_FIELDS]
     audit = [
@@ -291,13 +282,20 @@ def to_output(df: DataFrame, col: str = "value") -> DataFrame:
         rec("ssh").isNotNull(),
         F.struct(*[rec("ssh")[n].alias(n) for n in ("dst_port", "dst_ip", "src_port", "src_ip")]),
     ).alias("ssh")
-    block = F.col("GameMeta")
-    text = (
-        F.when(F.col("kind") == "syslog", F.to_json(F.struct(stamp, *syslog, block)))
-        .when(F.col("kind") == "snoopy", F.to_json(F.struct(*audit, ssh, stamp, *syslog, block)))
-        .otherwise(spliced)
+    own = (
+        F.when(F.col("kind") == "syslog", F.to_json(F.struct(stamp, *syslog)))
+        .when(F.col("kind") == "snoopy", F.to_json(F.struct(*audit, ssh, stamp, *syslog)))
+        .otherwise(F.col(col))
     )
-    return df.withColumn(col, F.when(F.col("_error").isNull(), text).otherwise(F.col(col)))
+    keep_nulls = {"ignoreNullFields": "false"}
+    fields = F.try_variant_get(F.try_parse_json("__own"), "$", "map<string,variant>")
+    block = F.from_json(F.to_json(F.struct("GameMeta"), keep_nulls), "map<string,variant>")
+    out = with_fields(df, [own.alias("__own")])
+    out = with_fields(out, [F.map_filter(fields, lambda k, v: k != "GameMeta").alias("__fields")], df.columns)
+    text = F.to_json(F.map_concat("__fields", block), keep_nulls)
+    others = [c for c in df.columns if c != col]
+    done = with_fields(out, [F.when(F.col("_error").isNull(), text).otherwise(F.col(col)).alias("__text")], df.columns)
+    return done.select(*others, F.col("__text").alias(col)).select(*df.columns)
 
 
 def enrich_metrics(enriched: DataFrame) -> DataFrame:

@@ -28,14 +28,14 @@ def os_tag(tags: Column, last: bool = False) -> Column:
 def flatten_targets(targets: DataFrame, aliases: DataFrame | None = None, now: Column | None = None) -> DataFrame:
     """Target x instance x interface x address -> one record each, plus ``vm_name``.
 
-    ``aliases`` (name, rename) fills ``pretty``. An address that is not CIDR text gets
+    ``aliases`` (name, rename) fills ``pretty``. ``arrival`` is the record's place inside its target. An address that is not CIDR text gets
     ``_error`` rather than stopping the run.
     """
     now = F.current_timestamp() if now is None else now
     rows = (
-        targets.select("*", F.explode("instances").alias("i"))
-        .select("*", F.explode("i.interfaces").alias("f"))
-        .select("*", F.explode("f.addresses").alias("a"))
+        targets.select("*", F.posexplode("instances").alias("__i", "i"))
+        .select("*", F.posexplode("i.interfaces").alias("__f", "f"))
+        .select("*", F.posexplode("f.addresses").alias("__a", "a"))
     )
     flat = rows.select(
         F.col("i.id").alias("ansible_name"),
@@ -49,6 +49,7 @@ def flatten_targets(targets: DataFrame, aliases: DataFrame | None = None, now: C
         F.col("f.network_id").alias("network_name"),
         now.alias("updated"),
         F.col("i.fqdn").alias("fqdn"),
+        F.struct("__i", "__f", "__a").alias("arrival"),
     )
     if aliases is None:
         flat = flat.withColumn("pretty", F.lit(None).cast("string"))
@@ -58,6 +59,7 @@ def flatten_targets(targets: DataFrame, aliases: DataFrame | None = None, now: C
     return flat.select(
         *RECORD_COLUMNS,
         "vm_name",
+        "arrival",
         F.when(F.col("addr").isNull(), F.lit("address is not CIDR text")).alias("_error"),
     )
 
@@ -80,13 +82,16 @@ def asset_keys(records: DataFrame) -> DataFrame:
 
 
 def asset_index(records: DataFrame, seq: str = "seq") -> DataFrame:
-    """key -> record; the record with the lowest ``seq`` keeps a contested key.
+    """key -> record; the record with the lowest ``seq`` (a number or a struct) keeps a contested key.
+
+    Between equal ``seq`` the record whose other columns are smallest keeps it.
 
     An aggregate rather than a window: rows of a popular key are reduced before the shuffle.
     """
     keyed = asset_keys(records)
     fields = [c for c in keyed.columns if c != "key"]
-    first = keyed.groupBy("key").agg(F.min_by(F.struct(*fields), F.col(seq)).alias("r"))
+    place = F.struct(F.col(seq).alias("s"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(fields) if c != seq])
+    first = keyed.groupBy("key").agg(F.min_by(F.struct(*fields), place).alias("r"))
     return first.select("key", "r.*")
 
 
@@ -98,9 +103,12 @@ def index_counts(records: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def latest_by(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key, the one with the highest ``order``."""
+    """One row per key, the one with the highest ``order``; between ties the last arrival, where the rows have an
+    ``arrival``, and then the row whose other columns are greatest, so the answer never depends on the row order."""
     fields = [c for c in df.columns if c != key]
-    newest = df.groupBy(key).agg(F.max_by(F.struct(*fields), F.col(order)).alias("r"))
+    ties = [c for c in ("arrival",) if c in fields] + [c for c in fields if c not in (order, "arrival")]
+    place = F.struct(F.col(order).alias("o"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(ties)])
+    newest = df.groupBy(key).agg(F.max_by(F.struct(*fields), place).alias("r"))
     return newest.select(key, "r.*")
 
 
@@ -115,21 +123,28 @@ def three_way_index(assets: DataFrame, order: str = "updated") -> tuple[DataFram
 
 
 def lookup_asset(probes: DataFrame, assets: DataFrame, host: str = "host", order: str = "updated") -> DataFrame:
-    """Left lookup of hosts: full name first, then short name. Adds struct ``asset``."""
-    _, by_fqdn, by_host = three_way_index(assets, order)
+    """Left lookup of hosts: address first, then full name, then short name. Adds struct ``asset``.
+
+    A probe that is an address is looked up in its canonical form.
+    """
+    by_ip, by_fqdn, by_host = three_way_index(assets, order)
     spread = [c for c in probes.columns]
     full = by_fqdn.withColumnRenamed("fqdn", "key").select("key", F.struct(*_asset_columns(by_fqdn)).alias("a"))
     short = by_host.withColumnRenamed("Host", "key").select(
-        "key", F.struct(*_asset_columns(by_host.withColumnRenamed("Host", "key"), host="key")).alias("a")
+        "key", F.struct(*_asset_columns(by_host.withColumnRenamed("Host", "key"), {"Host": "key"})).alias("a")
+    )
+    address = by_ip.withColumnRenamed("IP", "key").select(
+        "key", F.struct(*_asset_columns(by_ip.withColumnRenamed("IP", "key"), {"IP": "key"})).alias("a")
     )
-    out = attach(probes, as_lookup(full, "key"), F.col(host), "__full", spread)
+    out = attach(probes, as_lookup(address.where("key IS NOT NULL"), "key"), canon_ip(F.col(host)), "__ip", spread)
+    out = attach(out, as_lookup(full, "key"), F.col(host), "__full", spread)
     out = attach(out, as_lookup(short, "key"), F.col(host), "__short", spread)
-    return out.withColumn("asset", F.coalesce("__full.a", "__short.a")).drop("__full", "__short")
+    return out.withColumn("asset", F.coalesce("__ip.a", "__full.a", "__short.a")).drop("__ip", "__full", "__short")
 
 
-def _asset_columns(df: DataFrame, host: str = "Host") -> list[Column]:
+def _asset_columns(df: DataFrame, renamed: dict[str, str] | None = None) -> list[Column]:
     return [
-        F.col(host if name == "Host" else name).alias(name)
+        F.col((renamed or {}).get(name, name)).alias(name)
         for name in ("Host", "Alias", "OS", "IP", "Zone", "Team", "Domain", "VM", "Role", "is_asset")
     ]
 
@@ -202,8 +217,9 @@ def merge_assets(
     side is reduced to its latest row per key first, so each VM row matches at most one record.
     """
     passed = records.select(*RECORD_COLUMNS, F.col("addr").alias("key"), F.lit("inventory").alias("origin"))
+    arrival = ["arrival"] if "arrival" in records.columns else []
     known = latest_by(
-        records.select(*RECORD_COLUMNS, strip_key(F.col("ansible_name"), cutset, mode).alias("lookup")),
+        records.select(*RECORD_COLUMNS, *arrival, strip_key(F.col("ansible_name"), cutset, mode).alias("lookup")),
         "lookup",
         order,
     )
@@ -229,15 +245,22 @@ def bad_lookups(records: DataFrame, vcenter: DataFrame, cutset: str = "", mode:
     )
 
 
-def merge_counts(records: DataFrame, vcenter: DataFrame, merged: DataFrame) -> DataFrame:
-    """Totals the merge reports, as one row."""
+def merge_counts(
+    records: DataFrame, vcenter: DataFrame, merged: DataFrame, cutset: str = "", mode: str = "cutset"
+) -> DataFrame:
+    """Totals the merge reports, as one row. A lookup is missed where no record answers to its key; a known VM without
+    an address is none."""
+    known = records.select(strip_key(F.col("ansible_name"), cutset, mode).alias("lookup")).distinct()
+    asked = vcenter.select(strip_key(F.col("name"), cutset, mode).alias("lookup"))
+    missed = asked.groupBy("lookup").agg(F.count(F.lit(1)).alias("n")).join(known, "lookup", "left_anti")
     found = merged.agg(F.count_if(F.col("origin") == "vcenter").alias("found"), F.count(F.lit(1)).alias("sent"))
     return found.select(
         records.agg(F.count(F.lit(1))).scalar().alias("total_inventory"),
         vcenter.agg(F.count(F.lit(1))).scalar().alias("total_vcenter"),
         F.col("found").alias("new_assets_found"),
         F.col("sent").alias("new_assets_sent"),
-    ).withColumn("missed_lookups", F.col("total_vcenter") - F.col("new_assets_found"))
+        missed.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar().alias("missed_lookups"),
+    )
 
 
 def updated_within(records: DataFrame, seconds: int, now: Column) -> DataFrame:

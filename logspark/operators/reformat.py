@@ -16,11 +16,11 @@ RENAMED = {
     "facility": "syslog_facility",
     "ip": "syslog_ip",
 }
-AUDIT_SHORT = r"^\s?\[uid:(\d+) sid:(\d+) tty:(\S+) cwd:(\S+) filename:(\S+)\]: (.+)$"
+AUDIT_SHORT = r"^\s?\[uid:(\d+) sid:(\d+) tty:(\S+) cwd:(\S+) filename:(\S+)\]: (.+)\z"
 AUDIT_SHORT_KEYS = ("uid", "sid", "tty", "cwd", "filename", "cmd")
 AUDIT_LONG = (
     r"^\s?\[login:(\S+) ssh:(\(.+?\)) username:(\S+) uid:(\d+) group:(\S+) gid:(\d+) "
-    r"sid:(\d+) tty:(\S+) cwd:(\S+) filename:(\S+)\]: (.+)$"
+    r"sid:(\d+) tty:(\S+) cwd:(\S+) filename:(\S+)\]: (.+)\z"
 )
 AUDIT_LONG_KEYS = ("login", "ssh", "username", "uid", "group", "gid", "sid", "tty", "cwd", "filename", "cmd")
 

@@ -15,11 +15,11 @@ SEP = "\x01"
 TOKEN = r"([\x21-\x7e]+)"
 STRUCTURED = r'(?:-|(?:\[(?:[^\]\\"]|\\.|"(?:[^"\\]|\\.)*")*\])+)'
 HEADER = (
-    rf"(?s)^<(0|[1-9]\d{{0,2}})>[1-9]\d{{0,2}} {TOKEN} {TOKEN} {TOKEN} {TOKEN} {TOKEN} {STRUCTURED}(?: (.*))?$"
+    rf"(?s)^<(0|[1-9]\d{{0,2}})>[1-9]\d{{0,2}} {TOKEN} {TOKEN} {TOKEN} {TOKEN} {TOKEN} {STRUCTURED}(?: (.*))?\z"
 )
 REWRITE = "".join(f"{SEP}${n}" for n in (1, 2, 3, 4, 7))
 # Partly valid lines, kept only on request: PRI, then whatever header fields are there.
-LOOSE = r"(?s)^<(\d{1,3})>(?:\d{1,3} )?(\S+)? ?(\S+)? ?(\S+)? ?(.*)$"
+LOOSE = r"(?s)^<(\d{1,3})>(?:\d{1,3} )?(\S+)? ?(\S+)? ?(\S+)? ?(.*)\z"
 LOOSE_REWRITE = "".join(f"{SEP}${n}" for n in (1, 2, 3, 4, 5))
 
 
@@ -88,7 +88,7 @@ def cee_payload(message: Column) -> Column:
     return F.when(is_cee(message), F.regexp_replace(message, r"^ ?@cee: ", ""))
 
 
-BSD = r"(?s)^(?:<(\d+)>)?(\S+) (\S+) (\S+?)(?:\[(\d+)\])?:?( .+)$"
+BSD = r"(?s)^(?:<(\d+)>)?(\S+) (\S+) (\S+?)(?:\[(\d+)\])?:?( .+)\z"
 BSD_REWRITE = "".join(f"{SEP}${n}" for n in range(1, 7))
 
 

@@ -39,7 +39,7 @@ def latest_sid_map(updates: DataFrame, order: str, previous: DataFrame | None =
 
 
 def replace_missing_sids(updates: DataFrame, previous: DataFrame) -> DataFrame:
-    """The list of unmapped ids is replaced as a whole, unless the update is empty."""
+    """The list of unmapped ids is replaced as a whole, unless the update is empty. Both have sid and msg."""
     return previous if updates.isEmpty() else updates
 
 

@@ -219,6 +219,30 @@ def e12(spark, sf):
                     j("$.GameMeta.Host").alias("host"), original.alias("original"))
 
 
+DYNAMIC = "kind IN ('suricata','windows','sysmon')"
+
+
+@query("e12_blocks", J + f"""SELECT event_id, {LABEL} AS direction, CASE WHEN k%3=0 THEN 'last' END AS after, CASE WHEN k%3=1 THEN '{{{{"GameMeta":{{{{}}}},"a":1}}}}' END AS nested,
+      true AS valid, 'Alias,DirectionString,Directionality,Domain,EventData,EventType,Host,IP,MitreAttack,OS,Role,SigmaResults,Src,Dest,Team,VM,Zone,is_asset' AS names FROM res WHERE {DYNAMIC}""".replace("{{", "{").replace("}}", "}"))
+def e12_blocks(spark, sf):
+    """Blocks of an earlier run in the middle of an event, inside another object and alone; nulls stay in the output."""
+    k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
+    events = render.table(spark, sf, "events").select(F.col("event_id").alias("offset"), k.alias("k"))
+    rows = _enriched(spark, sf).filter(DYNAMIC).join(events, "offset")
+    body = F.regexp_replace("value", r"\s*\}\s*$", "")
+    middle = F.concat(body, F.lit(',"GameMeta":{"x":1},"after":"last"}'))
+    nested = F.concat(body, F.lit(',"nested":{"a":1,"GameMeta":{}}}'))
+    value = F.when(F.col("k") % 3 == 0, middle).when(F.col("k") % 3 == 1, nested).otherwise(F.lit('{"GameMeta":{"x":1}}'))
+    o = en.to_output(rows.withColumn("value", value))
+    j = lambda p: F.get_json_object("value", p)
+    names = F.json_object_keys(j("$.GameMeta"))
+    order = "Alias,DirectionString,Directionality,Domain,EventData,EventType,Host,IP,MitreAttack,OS,Role,SigmaResults,Src,Dest,Team,VM,Zone,is_asset"
+    listed = F.array_join(F.filter(F.array(*[F.lit(n) for n in order.split(",")]), lambda n: F.array_contains(names, n)), ",")
+    valid = F.expr("try_parse_json(value)").isNotNull() & ~F.contains("value", F.lit('"x":1'))
+    return o.select(F.col("offset").alias("event_id"), j("$.GameMeta.DirectionString").alias("direction"), j("$.after").alias("after"),
+                    j("$.nested").alias("nested"), valid.alias("valid"), listed.alias("names"))
+
+
 @query("e13_emit", NAMED + """SELECT kind, count(*) AS events, CAST(sum(CASE WHEN kind IN ('syslog','snoopy') OR ids IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS emitted,
       CAST(sum(CASE WHEN ids IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS with_technique FROM res LEFT JOIN attack USING (event_id) GROUP BY 1""")
 def e13(spark, sf):
@@ -234,12 +258,12 @@ def _alerts(spark, sf):
 
 
 def _sids(spark, sf):
-    """Mappings for the signatures of every third part."""
-    rows = render.sid_map_rows(spark, sf).filter("sid % 3 <> 0")
-    return rows.withColumn("sid", ((F.col("sid") % 1000) + 2000).cast("int")).dropDuplicates(["sid"])
+    """Mappings for two of three signatures that the alerts may carry."""
+    rows = render.sid_map_rows(spark, sf).withColumn("sid", (F.col("sid") % 1000).cast("int")).filter("sid % 3 <> 0")
+    return rows.withColumn("sid", F.col("sid") + 2000).dropDuplicates(["sid"])
 
 
-SIDS = "sids AS (SELECT DISTINCT 2000 + p_partkey%1000 AS sid FROM part WHERE p_partkey%3<>0)"
+SIDS = "sids AS (SELECT DISTINCT 2000 + p_partkey%1000 AS sid FROM part WHERE p_partkey%1000%3<>0)"
 
 
 @query("e14_join_sid_map", EV + f", {SIDS} SELECT CAST(sum(CASE WHEN s.sid IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS matches, CAST(sum(CASE WHEN s.sid IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS misses FROM ev LEFT JOIN sids s ON s.sid=2000+k WHERE {EVE_ALERT}")
@@ -252,6 +276,16 @@ def e14_missing(spark, sf):
     return sidmap.missing_sids(_alerts(spark, sf), _sids(spark, sf))
 
 
+@query("e15_parse_errors", J + """SELECT kind, count(*) AS events, CAST(sum(CASE WHEN k%7=3 THEN 1 ELSE 0 END) AS BIGINT) AS parse_errors FROM res GROUP BY 1""")
+def e15_errors(spark, sf):
+    tech = render.techniques(spark, sf)
+    broken = F.when(F.col("offset").isNotNull() & (F.get_json_object("props", "$.k").cast("bigint") % 7 == 3), F.lit("{oops"))
+    props = render.table(spark, sf, "events").select(F.col("event_id").alias("offset"), "props")
+    rows = render.json_events(spark, sf).join(props, "offset").withColumn("value", F.coalesce(broken, F.col("value"))).drop("props")
+    e = en.enrich(rows, index_lookup(_index(spark, sf)), en.technique_lookup(tech), load_rules(rules_table(spark), tech))
+    return en.enrich_metrics(e).select("kind", "events", "parse_errors")
+
+
 @query("e15_metrics", J + """SELECT kind, count(*) AS events, CAST(0 AS BIGINT) AS parse_errors,
       CAST(sum(CASE WHEN kind<>'syslog' AND (r01 OR r02 OR r03 OR r04) THEN 1 ELSE 0 END) AS BIGINT) AS sigma_matches,
       CAST(sum(CASE WHEN kind<>'syslog' AND NOT (r01 OR r02 OR r03 OR r04) THEN 1 ELSE 0 END) AS BIGINT) AS sigma_misses,

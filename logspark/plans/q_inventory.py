@@ -125,10 +125,30 @@ def d10(spark, sf):
 
 @query("d10_merge_counts", R + f""", {VC}, known AS (SELECT DISTINCT ltrim(ansible_name, 'vm_') AS lookup FROM rec), f AS (SELECT count(*) AS n FROM lk JOIN known USING (lookup) WHERE ip IS NOT NULL)
     SELECT (SELECT count(*) FROM rec) AS total_inventory, (SELECT count(*) FROM vc) AS total_vcenter, n AS new_assets_found,
-      n + (SELECT count(*) FROM rec) AS new_assets_sent, (SELECT count(*) FROM vc) - n AS missed_lookups FROM f""")
+      n + (SELECT count(*) FROM rec) AS new_assets_sent, (SELECT count(*) FROM lk WHERE lookup NOT IN (SELECT lookup FROM known)) AS missed_lookups FROM f""")
 def d10_counts(spark, sf):
     r, v = render.records(spark, sf), render.vcenter_rows(spark, sf)
-    return inv.merge_counts(r, v, inv.merge_assets(r, v, "vm_"))
+    return inv.merge_counts(r, v, inv.merge_assets(r, v, "vm_"), "vm_")
+
+
+@query("d10_merge_two_addresses", R + f""", {VC}, flat AS (SELECT s, host_name, v, CASE WHEN v=4 THEN CASE WHEN s%13<>0 THEN {ip_sql("s")} END
+      ELSE 'fd00::'||CASE WHEN s%65536=0 THEN '' ELSE format('{{:x}}', s%65536) END END AS addr FROM base, (VALUES (4),(6)) t(v) WHERE s%7<>0),
+    known AS (SELECT ltrim('vm_'||s, 'vm_') AS lookup, host_name FROM flat WHERE addr IS NOT NULL AND v=6)
+    SELECT addr AS key, host_name, addr, 'inventory' AS origin FROM flat WHERE addr IS NOT NULL
+    UNION ALL SELECT ip, host_name, ip, 'vcenter' FROM lk JOIN known USING (lookup) WHERE ip IS NOT NULL""")
+def d10_two(spark, sf):
+    """All records carry one time and each machine has two: the last arrival must win, whatever the order of rows."""
+    flat = inv.flatten_targets(render.target_rows(spark, sf), now=now_at()).filter("_error IS NULL")
+    m = inv.merge_assets(flat.repartition(5, "addr"), render.vcenter_rows(spark, sf), "vm_")
+    return m.select("key", "host_name", "addr", "origin")
+
+
+@query("d8_lookup_address", PROBES + "SELECT event_id, n.host_name AS host, n.team FROM (SELECT event_id, uip AS ip FROM ev WHERE k%2=0 UNION ALL SELECT event_id, host FROM ev WHERE k%2=1) p LEFT JOIN (SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY addr ORDER BY updated DESC)=1) a ON a.addr=p.ip LEFT JOIN newest h ON h.host_name=p.ip LEFT JOIN rec n ON n.seq=coalesce(a.seq, h.seq)")
+def d8_address(spark, sf):
+    ev = render.base_events(spark, sf)
+    probes = ev.select("event_id", F.when(F.col("k") % 2 == 0, F.col("uip")).otherwise(F.col("host")).alias("host"))
+    out = inv.lookup_asset(probes, _assets(spark, sf))
+    return out.select("event_id", F.col("asset.Host").alias("host"), F.col("asset.Team").alias("team"))
 
 
 @query("d11_bad_lookups", R + f", {VC} SELECT DISTINCT lookup, lookup='' AS empty_key FROM lk WHERE lookup NOT IN (SELECT ltrim(ansible_name, 'vm_') FROM rec)")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from logspark.operators.decode import sysmon_process_network
 from logspark.operators.enrich import emit, to_output
+from logspark.operators.sidmap import missing_sids
 from logspark.plans import render
 from logspark.plans.catalog import EV, RECORDS, query
-from logspark.plans.q_enrich import NAMED, _enriched
+from logspark.plans.q_enrich import NAMED, _alerts, _enriched, _sids
 from logspark.sinks import outputs as out
 from logspark.sources.logfiles import read_logs
 
@@ -18,11 +19,20 @@ def now_at():
 
 
 
-@query("k1_route", NAMED + """, e AS (SELECT kind, kind IN ('syslog','snoopy') OR ids IS NOT NULL AS emit FROM res LEFT JOIN attack USING (event_id))
-    SELECT 'events-'||kind AS topic, CAST(NULL AS VARCHAR) AS key, count(*) AS n FROM e GROUP BY 1, kind UNION ALL SELECT 'fast', kind, count(*) FROM e WHERE emit GROUP BY kind""")
+@query("k1_route", NAMED + """, e AS (SELECT event_id, kind, kind IN ('syslog','snoopy') OR ids IS NOT NULL AS emit FROM res LEFT JOIN attack USING (event_id))
+    SELECT 'events-'||kind AS topic, CAST(NULL AS VARCHAR) AS key, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM e GROUP BY 1, kind UNION ALL SELECT 'fast', kind, count(*), CAST(sum(event_id) AS BIGINT) FROM e WHERE emit GROUP BY kind""")
 def k1(spark, sf):
-    r = out.route_topics(to_output(_enriched(spark, sf)), "events", "fast", emit(), split=True)
-    return r.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"))
+    rows = to_output(_enriched(spark, sf)).withColumn("value", F.concat(F.col("offset").cast("string"), F.lit(" "), F.col("value")))
+    r = out.route_topics(rows, "events", "fast", emit(), split=True)
+    ids = F.sum(F.substring_index("value", " ", 1).cast("bigint"))
+    return r.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"), ids.alias("ids"))
+
+
+@query("k1_missing_sids", EV + """, sids AS (SELECT DISTINCT 2000 + p_partkey%1000 AS sid FROM part WHERE p_partkey%1000%3<>0),
+    missing AS (SELECT DISTINCT 2000+k AS sid, 'SIG '||k AS msg FROM ev WHERE (kind='suricata' AND k%5<>0) AND 2000+k NOT IN (SELECT sid FROM sids))
+    SELECT 'oracle' AS topic, 'meerkat_missing_sid_map' AS key, '['||string_agg('{"sid":'||sid||',"msg":"'||msg||'","id":"","name":"","tactic":""}', ',' ORDER BY sid)||']' AS value FROM missing""")
+def k1_missing(spark, sf):
+    return out.missing_sid_message(missing_sids(_alerts(spark, sf), _sids(spark, sf)), "oracle")
 
 
 @query("k1_route_preprocess", EV + "SELECT 'clean-'||kind AS topic, count(*) AS n FROM ev GROUP BY kind")
@@ -61,11 +71,12 @@ def k4(spark, sf):
     return ev.groupBy(name.alias("index_name")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("k5_queue", EV + "SELECT count(*) AS n FROM ev WHERE kind='sysmon' AND k%4 IN (0,1)")
+@query("k5_queue", EV + "SELECT kind, 'Task '||(k%6) AS task, count(*) AS n FROM ev WHERE kind='sysmon' AND k%4 IN (0,1) GROUP BY 1, 2")
 def k5(spark, sf):
     path = render.scratch_path(spark, "queue")
     out.append_queue(sysmon_process_network(render.json_events(spark, sf)), path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+    task = F.get_json_object("value", "$.winlog.task").alias("task")
+    return spark.read.parquet(path).groupBy(F.lit("sysmon").alias("kind"), task).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("k6_snapshot", "WITH " + RECORDS + "SELECT seq, host_name, addr FROM rec")
@@ -79,3 +90,14 @@ def k6(spark, sf):
 def k7(spark, sf):
     rows = out.file_to_topic(read_logs(spark, render.log_folder(spark, sf)), "replay", "k")
     return rows.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("k5_queue_replayed", EV + "SELECT 'Task '||(k%6) AS task, count(*) AS n FROM ev WHERE kind='sysmon' AND k%4 IN (0,1) GROUP BY 1")
+def k5_replayed(spark, sf):
+    """Two micro-batches, the second written twice, as after a crash: no line is doubled."""
+    path = render.scratch_path(spark, "queue")
+    rows = sysmon_process_network(render.json_events(spark, sf))
+    for batch_id, odd in ((0, 0), (1, 1), (1, 1)):
+        out.append_queue(rows.filter(F.col("offset") % 2 == odd), path, batch_id)
+    task = F.get_json_object("value", "$.winlog.task").alias("task")
+    return spark.read.parquet(path).groupBy(task).agg(F.count(F.lit(1)).alias("n"))

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 BULK_ACTIONS = 1000
 BULK_BYTES = 2 << 20
 
+# Fixed value: key of the message that lists unmapped signatures.
+MISSING_SIDS_KEY = "meerkat_missing_sid_map"
+
 ROWS_PER_FILE = 5_000_000
 
 
@@ -40,13 +43,12 @@ def route_topics(
 
 
 def missing_sid_message(missing: DataFrame, topic: str) -> DataFrame:
-    """One message per unmapped signature for the views' topic."""
-    body = F.to_json(
-        F.struct(
-            F.lit("").alias("id"), F.col("msg"), F.lit("").alias("name"), F.lit("").alias("tactic"), F.col("sid")
-        )
-    )
-    return missing.select(F.lit(topic).alias("topic"), F.lit("missing_sid_map").alias("key"), body.alias("value"))
+    """One message for the views' topic: the list of unmapped signatures, by sid. Signatures are few: they are kinds of
+    alerts, not alerts. No unmapped signature: no message."""
+    blank = [F.lit("").alias(name) for name in ("id", "name", "tactic")]
+    entry = F.struct("sid", "msg", *blank)
+    listed = missing.agg(F.array_sort(F.collect_list(entry)).alias("list")).where(F.size("list") > 0)
+    return listed.select(F.lit(topic).alias("topic"), F.lit(MISSING_SIDS_KEY).alias("key"), F.to_json("list").alias("value"))
 
 
 def write_topic(df: DataFrame, brokers: str, checkpoint: str | None = None, options: dict[str, str] | None = None):
@@ -69,6 +71,11 @@ def file_to_topic(lines: DataFrame, topic: str, key: str) -> DataFrame:
     return lines.select(F.lit(topic).alias("topic"), F.lit(key).alias("key"), "value")
 
 
+def batch_folder(path: str, batch_id: int | None) -> tuple[str, str]:
+    """Where and how to write: appended, or for a micro-batch into a folder of its own, so that a replay replaces it."""
+    return (path, "append") if batch_id is None else (f"{path}/batch={batch_id}", "overwrite")
+
+
 def archive_columns(df: DataFrame, seconds: int, now: Column, source: str = "topic") -> DataFrame:
     """Add ``source`` (spaces removed) and ``bucket`` (start of the rotation interval)."""
     floor = F.timestamp_seconds(F.call_function("div", F.unix_seconds(now), F.lit(seconds).cast("bigint")) * seconds)
@@ -85,8 +92,10 @@ def archive(
     source: str = "topic",
     order: str | None = "offset",
     rows_per_file: int = ROWS_PER_FILE,
+    batch_id: int | None = None,
 ) -> None:
-    """Gzip text under source=…/bucket=…, one line per row."""
+    """Gzip text under source=…/bucket=…, one line per row; of a micro-batch, below batch=… and replacing its first try."""
+    path, mode = batch_folder(path, batch_id)
     now = F.current_timestamp() if now is None else now
     rows = archive_columns(df, seconds, now, source)
     # AQE merges small (source, bucket) groups into a task and cuts big ones over several
@@ -95,7 +104,7 @@ def archive(
     (
         rows.sortWithinPartitions(*keys)
         .select("source", "bucket", "value")
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy("source", "bucket")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", rows_per_file)
@@ -103,14 +112,18 @@ def archive(
     )
 
 
-def write_files(df: DataFrame, combined: str | None = None, per_kind: str | None = None, gzip: bool = True) -> None:
+def write_files(
+    df: DataFrame, combined: str | None = None, per_kind: str | None = None, gzip: bool = True, batch_id: int | None = None
+) -> None:
     """One combined text folder and/or one folder per kind; trailing newlines are stripped."""
     rows = df.select("kind", F.regexp_replace("value", r"\n+$", "").alias("value"))
     codec = "gzip" if gzip else "none"
     if combined:
-        rows.select("value").write.mode("append").option("compression", codec).text(combined)
+        folder, mode = batch_folder(combined, batch_id)
+        rows.select("value").write.mode(mode).option("compression", codec).text(folder)
     if per_kind:
-        rows.hint("rebalance", "kind").write.mode("append").partitionBy("kind").option("compression", codec).text(per_kind)
+        folder, mode = batch_folder(per_kind, batch_id)
+        rows.hint("rebalance", "kind").write.mode(mode).partitionBy("kind").option("compression", codec).text(folder)
 
 
 def index_name(prefix: str, topic: Column, ts: Column, now: Column) -> Column:
@@ -144,9 +157,10 @@ def write_index(df: DataFrame, send: Callable[[list], None]) -> None:
     df.select("index", "value").foreachPartition(run)
 
 
-def append_queue(df: DataFrame, path: str) -> None:
+def append_queue(df: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Raw JSON of selected events, appended to a Parquet queue."""
-    df.select("value").write.mode("append").parquet(path)
+    folder, mode = batch_folder(path, batch_id)
+    df.select("value").write.mode(mode).parquet(folder)
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:

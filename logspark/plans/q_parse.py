@@ -521,6 +521,16 @@ def n23_linux(spark, sf):
     FROM ev WHERE kind IN ('windows','sysmon')""",
 )
 def n23_windows(spark, sf):
+    r = _windows_streams(spark, sf)
+    good = F.col("_error").isNull()
+    return r.select(
+        "event_id", "stream",
+        *[F.when(good, F.get_json_object("value", f"$.{n}")).alias(n) for n in ("syslog_host", "message", "syslog_message")],
+        F.when(good, F.get_json_object("value", "$.extra").cast("bigint")).alias("extra"), (~good).alias("rejected"),
+    )
+
+
+def _windows_streams(spark, sf):
     ev = render.base_events(spark, sf).filter(F.col("kind").isin("windows", "sysmon"))
     ev = ev.withColumn("program", F.when(F.col("kind") == "sysmon", "Win-Sysmon").otherwise("eventlog"))
     message = F.concat(F.lit('win "'), text(F.col("k")), F.lit('"')).alias("message")
@@ -528,13 +538,25 @@ def n23_windows(spark, sf):
     rows = _short_keys(ev, message, F.col("k").alias("extra"), clash)
     # as shipped, quotes inside arrive escaped twice
     rows = rows.withColumn("value", F.replace("value", F.lit('\\"'), F.lit('\\\\\\"')))
-    r = ref.reformat(rows, "windows")
-    good = F.col("_error").isNull()
-    return r.select(
-        "event_id", "stream",
-        *[F.when(good, F.get_json_object("value", f"$.{n}")).alias(n) for n in ("syslog_host", "message", "syslog_message")],
-        F.when(good, F.get_json_object("value", "$.extra").cast("bigint")).alias("extra"), (~good).alias("rejected"),
-    )
+    return ref.reformat(rows, "windows")
+
+
+@query(
+    "n23_write_streams",
+    EV + """, w AS (SELECT *, k%9=8 AS bad, CASE WHEN kind='sysmon' THEN 'sysmon' ELSE 'windows' END AS stream FROM ev WHERE kind IN ('windows','sysmon'))
+    SELECT stream, count(*) AS n, CAST(sum(k) AS BIGINT) AS extra FROM w WHERE NOT bad GROUP BY 1
+    UNION ALL SELECT 'ok', count(*), NULL FROM w WHERE NOT bad UNION ALL SELECT 'bad', count(*), NULL FROM w WHERE bad""",
+)
+def n23_written(spark, sf):
+    """What the writer's folders hold, read back, and the counts that the job reports."""
+    r = _windows_streams(spark, sf)
+    path = render.scratch_path(spark, "streams")
+    ref.write_streams(r, path)
+    back = spark.read.schema("value STRING, stream STRING").text(path)
+    extra = F.sum(F.get_json_object("value", "$.extra").cast("bigint"))
+    streams = back.groupBy("stream").agg(F.count(F.lit(1)).alias("n"), extra.alias("extra"))
+    counts = ref.line_counts(r).select(F.expr("stack(2, 'ok', ok, 'bad', bad) AS (stream, n)"), F.lit(None).cast("bigint").alias("extra"))
+    return streams.unionByName(counts)
 
 
 @query(

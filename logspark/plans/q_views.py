@@ -131,6 +131,25 @@ def i7(spark, sf):
     return views.sid_map_csv(_sid_view(spark, sf)).withColumn("sid", F.col("sid").cast("bigint"))
 
 
+@query("i7_updates", SIDS + """, third AS (SELECT * FROM upd WHERE seq%3=0 QUALIFY row_number() OVER (PARTITION BY sid ORDER BY seq DESC)=1)
+    SELECT 'kept' AS kind, CAST(sid AS BIGINT) AS sid, name FROM view UNION ALL SELECT 'replaced', CAST(sid AS BIGINT), name FROM third
+    UNION ALL SELECT 'missing kept', CAST(seq AS BIGINT), msg FROM upd WHERE seq%5=0 UNION ALL SELECT 'missing replaced', CAST(seq AS BIGINT), msg FROM upd WHERE seq%7=0""")
+def i7_updates(spark, sf):
+    """An empty update keeps the view and the list of unmapped ids; any other replaces them as a whole."""
+    rows = render.sid_map_rows(spark, sf).withColumn("seq", F.col("sid"))
+    mapped = rows.withColumn("sid", F.col("sid") % 700)
+    view = views.latest_sid_map(mapped, "seq")
+    old, new, none = (rows.filter(c).select("sid", "msg") for c in (F.col("seq") % 5 == 0, F.col("seq") % 7 == 0, F.lit(False)))
+    parts = [
+        ("kept", views.latest_sid_map(mapped.filter(F.lit(False)), "seq", view), "name"),
+        ("replaced", views.latest_sid_map(mapped.filter(F.col("seq") % 3 == 0), "seq", view), "name"),
+        ("missing kept", views.replace_missing_sids(none, old), "msg"),
+        ("missing replaced", views.replace_missing_sids(new, old), "msg"),
+    ]
+    out = [df.select(F.lit(kind).alias("kind"), F.col("sid").cast("bigint").alias("sid"), F.col(c).alias("name")) for kind, df, c in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 @query("i9_sid_key_values", SIDS + "SELECT CAST(sid AS BIGINT) AS sid, name, msg FROM view")
 def i9(spark, sf):
     kv = views.sid_key_values(_sid_view(spark, sf))
@@ -161,8 +180,11 @@ def i10(spark, sf):
         F.concat(F.lit("m"), text(c % 200)).alias("fqdn"), version.alias("pythonversion"),
         F.timestamp_seconds(F.lit(1546300800) + c * 40000).alias("updated"),
     )
-    history, latest = render.scratch_path(spark, "history"), render.scratch_path(spark, "latest")
-    views.dual_write(facts, history, latest)
+    history, first, latest = (render.scratch_path(spark, n) for n in ("history", "latest", "latest"))
+    # two runs: the view is first taken over the history, then the second run's facts are merged into it
+    early = F.col("updated") < F.timestamp_seconds(F.lit(1546300800 + 500 * 40000))
+    views.dual_write(facts.filter(~early), history, first)
+    views.dual_write(facts.filter(early), history, latest, previous=spark.read.parquet(first))
     h = spark.read.parquet(history).groupBy(text(F.col("year")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     one = spark.read.parquet(latest)
     return h.select(F.lit("history").alias("kind"), "key", "n", F.lit("").alias("version")).unionByName(

@@ -6,6 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logspark.functions.joins import small_enough
 from logspark.functions.ranks import running_offsets
+from logspark.session import scratch_path
+
+
+def splits_are_fixed(spark: SparkSession) -> bool:
+    """Whether files are split alike at every scan, however many executors are alive at the moment."""
+    named = ("spark.sql.files.minPartitionNum", "spark.sql.leafNodeDefaultParallelism")
+    context = spark.sparkContext
+    return (
+        any(spark.conf.get(name, None) for name in named)
+        or context.getConf().contains("spark.default.parallelism")
+        or context.master.startswith("local[")
+    )
 
 
 def read_logs(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
@@ -14,12 +26,10 @@ def read_logs(spark: SparkSession, path: str, kind: str | None = None) -> DataFr
     Line numbers need no sort and gather no file in one task. Spark reads a file in blocks, each
     block by one task in order, and ``monotonically_increasing_id`` counts up inside a task. So a
     line's place in its block is its id minus the block's first id; the lines in earlier blocks are
-    added from a table with one row per block. Both sides list the files once and must split
-    them alike, hence the fixed split count.
+    added from a table with one row per block. Both scans must split the files alike. Where the
+    session does not fix the splits, the lines and their ids are written once below the shared
+    folder and read from there; the session's settings stay as they are.
     """
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        # otherwise splits of small inputs would follow the executors alive at the moment
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .text(path)
@@ -30,6 +40,10 @@ def read_logs(spark: SparkSession, path: str, kind: str | None = None) -> DataFr
             F.monotonically_increasing_id().alias("__id"),
         )
     )
+    if not splits_are_fixed(spark):
+        held = scratch_path(spark, "lines")
+        lines.write.parquet(held)
+        lines = spark.read.schema(lines.schema).parquet(held)
     blocks = lines.groupBy("path", "__block").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     blocks = running_offsets(blocks, ["path"], "__block", "__n", "__base").drop("__n")
     numbered = lines.join(small_enough(blocks), ["path", "__block"])

@@ -100,3 +100,35 @@ def test_thousands_of_rules_are_planned_fast_and_all_tried(spark):
     found = [[x["rule_id"] for x in r["sigma_results"] or ()] for r in matched.collect()]
     assert found == [["r2999"], []]
     assert planned < 3
+
+
+def test_line_numbers_where_splits_are_not_fixed(spark, tmp_path, monkeypatch):
+    """The lines are then written once; numbers are the same and the session's settings stay."""
+    from logspark.sources import logfiles
+
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.log").write_text("".join(f"{name}{i}\n" for i in range(500)))
+    before = dict(spark.conf.getAll)
+    rows = lambda: sorted(map(tuple, logfiles.read_logs(spark, str(tmp_path)).select("value", "path", "offset").collect()))
+    expected = rows()
+    monkeypatch.setattr(logfiles, "splits_are_fixed", lambda _: False)
+    assert rows() == expected and len(expected) == 1000
+    assert all(value[1:] == str(offset) for value, _, offset in expected)
+    after = dict(spark.conf.getAll)
+    assert {k: v for k, v in after.items() if k.startswith("spark.sql")} == {k: v for k, v in before.items() if k.startswith("spark.sql")}
+
+
+def test_merged_view_equals_that_over_the_history(spark, tmp_path):
+    from logspark.operators import views
+
+    facts = spark.createDataFrame(
+        [("m1", [3, 1], "2024-01-01"), ("m2", [3, 2], "2024-01-02"), ("m1", [3, 9], "2024-02-01"), (None, [1], "2024-01-01")],
+        "fqdn string, pythonversion array<bigint>, updated string",
+    ).withColumn("updated", F.col("updated").cast("timestamp"))
+    first, second = facts.filter("fqdn = 'm2'"), facts.filter("fqdn IS NULL OR fqdn = 'm1'")
+    paths = [str(tmp_path / n) for n in ("history", "one", "two", "whole")]
+    views.dual_write(first, paths[0], paths[1])
+    views.dual_write(second, paths[0], paths[2], previous=spark.read.parquet(paths[1]))
+    views.dual_write(facts.limit(0), paths[0], paths[3])
+    got, whole = (sorted(map(tuple, spark.read.parquet(p).select("fqdn", "pythonversion").collect())) for p in paths[2:])
+    assert got == whole == [("m1", "3.9"), ("m2", "3.2")]

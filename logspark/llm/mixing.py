@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from logspark.llm.common import apart, saved, word_count
 
 BUCKETS = 4096
+HASH_DIGITS = 15
 ADDED = ("__size", "__source_size", "__target", "__repeats")
 
 
@@ -49,6 +50,13 @@ def cyclic_weights(sources: DataFrame, weights: tuple[float, ...]) -> DataFrame:
     return sources.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int")))
 
 
+def seeded_hash(seed: int, *columns: str) -> Column:
+    """60 bits of an MD5 over the seed and the columns; any SQL engine can repeat it. Null counts as empty."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    digest = F.md5(F.concat_ws("/", F.lit(str(seed)), *parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("bigint")
+
+
 def mix(
     docs: DataFrame,
     size: Callable[[Column], Column] = word_count,
@@ -70,7 +78,7 @@ def mix(
     """
     docs, new, old = apart(docs, ADDED)
     id_col, source_col = new[id_col], new[source_col]
-    own = docs.withColumn("__size", size(F.col(new[text_col]))).withColumn("__hash", F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col)))
+    own = docs.withColumn("__size", size(F.col(new[text_col]))).withColumn("__hash", seeded_hash(seed, id_col, source_col))
     own = own.withColumn("__bucket", F.pmod(F.col("__hash"), F.lit(BUCKETS)).cast("int"))
     slim = saved(own.select(F.col(source_col).alias("source"), "__bucket", "__hash", "__size"), "mixing-sizes")
     sums = slim.groupBy("source", "__bucket").agg(F.sum("__size").alias("n"))

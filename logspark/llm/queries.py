@@ -103,4 +103,61 @@ OPERATORS = (
     pipeline,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
-ORACLES: dict[str, str] = {}
+
+# The archives' rows from the pages alone. An id is the start of a SHA-256 over page and payload.
+OP2_SQL = r"""
+WITH own AS (
+    SELECT page_id, url, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS bytes FROM pages
+), typed AS (
+    SELECT *, CASE WHEN bytes >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first FROM own
+), named AS (
+    SELECT *, first IS NOT NULL AND page_id IS DISTINCT FROM first AS revisit,
+        substr(sha256(coalesce(CAST(page_id AS VARCHAR), 'None') || '/' || digest), 1, 32) AS id
+    FROM typed
+)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest,
+    CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN revisit THEN first END AS refers_to, url,
+    'urn:uuid:' || substr(id, 1, 8) || '-' || substr(id, 9, 4) || '-' || substr(id, 13, 4) || '-' || substr(id, 17, 4)
+        || '-' || substr(id, 21, 12) AS record_id
+FROM named
+"""
+
+# Targets by the level at which capped shares use up the budget; then, in the seeded order, the prefix whose sum comes
+# nearest to what whole rounds leave of the target (the shorter one of two).
+OP9_SQL = r"""
+WITH own AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        CAST('0x' || substr(md5('17/' || coalesce(CAST(doc_id AS VARCHAR), '') || '/' || coalesce(source, '')), 1, 15) AS BIGINT) AS h
+    FROM documents
+), sources AS (
+    SELECT source, sum(size) AS source_size,
+        [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
+    FROM own GROUP BY source
+), ranked AS (
+    SELECT *, source_size * 2.0::DOUBLE AS cap, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS i FROM sources
+), levels AS (
+    SELECT a.i, a.cap, a.weight,
+        ((SELECT sum(source_size) FROM sources) * 1.5::DOUBLE - coalesce((SELECT sum(b.cap) FROM ranked b WHERE b.i < a.i), 0))
+            / (SELECT sum(b.weight) FROM ranked b WHERE b.i >= a.i) AS level
+    FROM ranked a
+), final AS (
+    SELECT min_by(level, i) AS level FROM levels WHERE level * weight < cap
+), targets AS (
+    SELECT source, source_size, least(cap, coalesce(weight * level, cap)) AS target FROM ranked LEFT JOIN final ON true
+), plan AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets
+), sums AS (
+    SELECT own.*, CAST(source_size AS BIGINT) AS source_size, target, whole, target - whole * source_size AS rest,
+        sum(size) OVER (PARTITION BY own.source ORDER BY h % 4096, h) AS upto
+    FROM own JOIN plan ON own.source IS NOT DISTINCT FROM plan.source
+), nearest AS (
+    SELECT source, min_by(upto, (abs(upto - rest), upto)) AS best
+    FROM (SELECT source, upto, rest FROM sums UNION ALL SELECT DISTINCT source, 0, rest FROM sums) GROUP BY source
+)
+SELECT doc_id, size, source_size, target,
+    CAST(size * (whole + CASE WHEN upto <= best THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM sums JOIN nearest ON sums.source IS NOT DISTINCT FROM nearest.source
+"""
+
+ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op9_mixing": OP9_SQL}

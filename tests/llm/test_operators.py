@@ -17,7 +17,8 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from logspark.llm import hmm, html_text, lines, mixing, neighbours, perplexity, pieces, sharding, simhash, warc
+from compare import check, duck
+from logspark.llm import hmm, html_text, lines, mixing, neighbours, perplexity, pieces, queries, sharding, simhash, warc
 from logspark.llm.components import components
 from logspark.session import scratch_path
 
@@ -510,6 +511,14 @@ def test_mixing_of_odd_rows(spark):
     assert {r["__repeats"] for r in mixing.mix(empty).collect()} == {0}
 
 
+@pytest.mark.parametrize("name", ["op2_warc", "op9_mixing"])
+def test_queries_give_their_sqls_rows(spark, name):
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("needs the given tables")
+    assert check(spark, duck(sf), name, queries.QUERIES[name], queries.ORACLES[name], sf) is None
+
+
 # HTML
 
 

@@ -87,8 +87,9 @@ class Bundle:
         return b"".join([*self.frames, lookup, struct.pack("<II", SEEK_SKIPPABLE, len(table) + 9), table, footer])
 
 
-def tables(bundle: bytes) -> tuple[list[tuple[int, int]], dict[bytes, tuple[int, int, int]]]:
-    """(start, length) of each data frame; record id -> (frame, offset inside it, length). Reads the end only."""
+def tables(bundle: bytes) -> tuple[list[tuple[int, int]], list[tuple[bytes, int, int, int]]]:
+    """(start, length) of each data frame; (record id, frame, offset inside it, length) of each record, in the order of
+    writing. Reads the end only. Records that repeat an id each have an entry."""
     count, _, magic = struct.unpack("<IBI", bundle[-9:])
     if magic != SEEKABLE:
         raise ValueError("not a seekable bundle")
@@ -98,13 +99,13 @@ def tables(bundle: bytes) -> tuple[list[tuple[int, int]], dict[bytes, tuple[int,
         starts.append((at, packed))
         at += packed
     first, length = starts[-1]
-    places = {e[0]: e[1:] for e in struct.iter_unpack(_ENTRY, bundle[first + 8 : first + length])}
-    return starts[:-1], places
+    return starts[:-1], list(struct.iter_unpack(_ENTRY, bundle[first + 8 : first + length]))
 
 
 def read_record(bundle: bytes, key: uuid.UUID) -> bytes | None:
-    """One record by its id: unpacks a single frame."""
-    frames, places = tables(bundle)
+    """One record by its id, the last of those that repeat it: unpacks a single frame."""
+    frames, entries = tables(bundle)
+    places = {e[0]: e[1:] for e in entries}
     if key.bytes not in places:
         return None
     frame, offset, length = places[key.bytes]
@@ -114,9 +115,9 @@ def read_record(bundle: bytes, key: uuid.UUID) -> bytes | None:
 
 def records(bundle: bytes) -> Iterator[bytes]:
     """All records, frame by frame, in the order of writing."""
-    frames, places = tables(bundle)
+    frames, entries = tables(bundle)
     by_frame: dict[int, list[tuple[int, int]]] = {}
-    for frame, offset, length in places.values():
+    for _, frame, offset, length in entries:
         by_frame.setdefault(frame, []).append((offset, length))
     unpack = zstandard.ZstdDecompressor()
     for i, (start, packed) in enumerate(frames):

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logspark.llm.common import apart, saved, text_bytes
 from logspark.llm.components import components
@@ -137,15 +137,29 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return prints.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """Tells rows with a null or repeated id apart by their text; in order by id, nulls last."""
+    mark = F.xxhash64(F.col(text_col).cast("string"))
+    return F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), mark.alias("mark"))
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The first row of each group; ``groups`` has the row_key of each row as id, and its group's smallest as component_id."""
+    first = groups.where(F.col("id") == F.col("component_id")).groupBy("id").agg(F.count(F.lit(1)).alias("__n"))
+    first = saved(first.select(F.col("id.id").alias("__id"), F.col("id.mark").alias("__mark"), "__n"), "near-first")
+    mark = F.xxhash64(F.col(text_col).cast("string"))
+    kept = docs.hint("merge").join(first, F.col(id_col).eqNullSafe(F.col("__id")) & (mark == F.col("__mark")))
+    # the key is made anew, so that each task drops most repetitions before they are dealt out
+    again = kept.where("__n > 1").withColumn("__key", F.struct("__id", "__mark")).dropDuplicates(["__key"])
+    return kept.where("__n = 1").select(*docs.columns).union(again.select(*docs.columns))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their group's smallest, all columns unchanged.
+    """One row of each group, all columns unchanged: that with the smallest id, nulls last, then by the hash of the text.
 
-    Of rows that repeat this id one stays, the one with the smallest text; a group whose ids are all null keeps one row.
+    Of rows that repeat id and text one stays. A null or repeated id stands for no group: each group keeps a row.
     """
     docs, new, old = apart(docs)
     id_col, text_col = new[id_col], new[text_col]
-    groups = near_groups(docs, id_col, text_col).where(F.col("id").eqNullSafe(F.col("component_id")))
-    winners = groups.select(F.col("id").alias("__winner")).distinct()
-    order = Window.partitionBy("__winner").orderBy(F.col(text_col).asc_nulls_first())
-    kept = docs.join(winners, F.col(id_col).eqNullSafe(F.col("__winner")))
-    return kept.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select(*docs.columns).toDF(*old)
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    return keep_first(docs, near_groups(keyed, "key", "text"), id_col, text_col).toDF(*old)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections import Counter
 
-from logspark.llm import warc
+from logspark.llm import simhash, warc
 from logspark.session import scratch_path
+from test_operators import docs_of, words_of
 
 
 def test_equal_records_of_one_bundle_are_all_read(spark):
@@ -15,3 +16,11 @@ def test_equal_records_of_one_bundle_are_all_read(spark):
     warc.write_archives(pages, path)
     got = warc.read_archives(spark, path).select("page_id", "url").collect()
     assert Counter(map(tuple, got)) == Counter((i, url) for i, url, _ in rows)
+
+
+def test_each_near_duplicate_group_keeps_a_row_whatever_its_id(spark):
+    a, b, c, d = (words_of(seed, 80) for seed in (1, 2, 3, 4))
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (8, c), (None, d)]
+    for operator in (simhash,):
+        kept = operator.keep_one(docs_of(spark, rows)).collect()
+        assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(None, a), (None, b), (7, c), (7, d)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from logspark.llm import simhash, warc
+from logspark.llm import near_copies, simhash, warc
 from logspark.session import scratch_path
 from test_operators import docs_of, words_of
 
@@ -18,9 +18,36 @@ def test_equal_records_of_one_bundle_are_all_read(spark):
     assert Counter(map(tuple, got)) == Counter((i, url) for i, url, _ in rows)
 
 
+def test_near_copies_are_the_groups_of_all_pairs_at_the_level(spark, monkeypatch):
+    import random
+
+    import corpus_pipeline
+
+    rng, rows = random.Random(4), []
+    for g in range(12):
+        base = words_of(g, 150, 5000).split()
+        for edits in (0, 1, 2, 3, 4, 6, 9):
+            words = list(base)
+            for k in range(edits):
+                words[rng.randrange(150)] = f"new{g}-{edits}-{k}"
+            rows.append((len(rows), " ".join(words)))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if x == high else x for x in group]
+    want = [i for i in range(len(rows)) if group[i] == i]
+    docs = docs_of(spark, rows)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == want
+    monkeypatch.setattr(near_copies, "SMALL_BUCKET", 1)
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == want
+
+
 def test_each_near_duplicate_group_keeps_a_row_whatever_its_id(spark):
     a, b, c, d = (words_of(seed, 80) for seed in (1, 2, 3, 4))
     rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (8, c), (None, d)]
-    for operator in (simhash,):
+    for operator in (simhash, near_copies):
         kept = operator.keep_one(docs_of(spark, rows)).collect()
         assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(None, a), (None, b), (7, c), (7, d)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from logspark.llm import near_copies, simhash, warc
+from logspark.llm import near_copies, perplexity, simhash, warc
 from logspark.session import scratch_path
 from test_operators import docs_of, words_of
 
@@ -18,6 +18,15 @@ def test_equal_records_of_one_bundle_are_all_read(spark):
     assert Counter(map(tuple, got)) == Counter((i, url) for i, url, _ in rows)
 
 
+def test_copies_of_a_text_do_not_move_the_band_of_their_language(spark):
+    texts = [" ".join(w + "ing" for w in words_of(i, 60 + i).split()) for i in range(60)]
+    once = [(i, t) for i, t in enumerate(texts)]
+    copied = once + [(1000 + i, texts[0]) for i in range(100)]
+    two = [(5000, texts[1].replace("w1", "x1"), "xx", "s"), (5001, texts[2].replace("w", "é"), "xx", "s")]
+    kept = {r["doc_id"] for r in perplexity.assess(docs_of(spark, copied + two)).where("__kept").collect()}
+    assert kept == {i for i, *_ in copied + two}
+
+
 def test_near_copies_are_the_groups_of_all_pairs_at_the_level(spark, monkeypatch):
     import random
 

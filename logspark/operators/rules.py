@@ -22,9 +22,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from logspark.fixed import KINDS
 from logspark.functions.binding import with_fields
 from logspark.operators.fields import keywords, select_sql
+from logspark.operators.rule_index import RuleIndex, matches, split_condition
 from logspark.schemas import TECHNIQUE
 
 CHUNK = 100
+# From so many rules on, an index finds the few that an event matches.
+INDEXED_FROM = 200
 PLACEHOLDER = re.compile(r"\{(#?)([@\w.\-/ ]+)\}")
 RESULT = "STRUCT<rule_id: STRING, title: STRING, tags: ARRAY<STRING>>"
 
@@ -91,11 +94,19 @@ def _table(rules: list[Rule]) -> Column:
     return F.from_json(F.lit(json.dumps(entries)), kind)
 
 
-def match_rules(df: DataFrame, rules: list[Rule], sysmon_rules: bool = False) -> DataFrame:
+def _listed(tests: list[str]) -> str:
+    """The numbers that the tests give, nulls left out; compiled, as a lambda over the array would not be."""
+    return f"array_except(array({', '.join(tests)}), array(cast(null as int)))"
+
+
+def match_rules(
+    df: DataFrame, rules: list[Rule], sysmon_rules: bool = False, indexed_from: int = INDEXED_FROM
+) -> DataFrame:
     """Add ``sigma_results`` (array of matches), ``sigma_techniques`` and ``sigma_state``.
 
     ``sigma_state`` is match, miss or no-ruleset. Sysmon rows count as kind ``windows``, so rules
-    filed under ``sysmon`` only run when ``sysmon_rules`` is set. All rules of a kind are tried.
+    filed under ``sysmon`` only run when ``sysmon_rules`` is set. All rules of a kind are tried; from
+    ``indexed_from`` rules on, by an index of their constants, with the same result.
     """
     none = f"cast(null as array<{RESULT}>)"
     if not rules:
@@ -125,7 +136,7 @@ def match_rules(df: DataFrame, rules: list[Rule], sysmon_rules: bool = False) ->
             extracted.append(F.expr(f"CASE WHEN {wanted} THEN {sql} END").alias(known))
         return known
 
-    tests, used, kinds = [], [], set()
+    tests, used, kinds, index = [], [], set(), RuleIndex()
     for rule in rules:
         family = "windows" if rule.kind == "sysmon" else rule.kind
         condition = PLACEHOLDER.sub(lambda m: slot(family, m[1], m[2]), rule.condition)
@@ -138,7 +149,13 @@ def match_rules(df: DataFrame, rules: list[Rule], sysmon_rules: bool = False) ->
         else:
             guard = f"kind = '{rule.kind}'"
         kinds.add(rule.kind)
-        tests.append(f"CASE WHEN {guard} AND coalesce(({condition}), false) THEN {len(used)} END")
+        if len(rules) >= indexed_from:
+            atoms, rest = split_condition(rule.condition)
+            named = [(slot(family, "#" if a.number else "", a.name), a) for a in atoms]
+            rest = PLACEHOLDER.sub(lambda m: slot(family, m[1], m[2]), rest)
+            index.add(named, f"{guard} AND coalesce(({rest}), false)" if rest else guard)
+        else:
+            tests.append(f"CASE WHEN {guard} AND coalesce(({condition}), false) THEN {len(used)} END")
         used.append(rule)
 
     has_rules = F.col("kind").isin(*kinds) if kinds else F.lit(False)
@@ -147,13 +164,21 @@ def match_rules(df: DataFrame, rules: list[Rule], sysmon_rules: bool = False) ->
     out = with_fields(df, [keywords().alias("__keywords")])
     if extracted:
         out = with_fields(out, extracted)
-    # numbers of the rules that match: one text for each chunk, so the driver builds few expressions
-    chunks = [
-        F.expr(f"array_compact(array({', '.join(tests[i : i + CHUNK])}))").alias(f"__h{i}") for i in range(0, len(tests), CHUNK)
-    ]
-    out = with_fields(out, [*chunks, has_rules.alias("__has")], df.columns)
-    found = [F.col(f"__h{i}") for i in range(0, len(tests), CHUNK)]
-    numbers = F.concat(*found) if found else F.array().cast("array<int>")
+    # numbers of the rules that match, or of the rests that hold: one text for each chunk, so the driver builds few expressions
+    tests = tests or index.rest_tests()
+    chunks = [F.expr(_listed(tests[i : i + CHUNK])).alias(f"__h{i // CHUNK}") for i in range(0, len(tests), CHUNK)]
+    found = F.concat(*[F.col(f"__h{i}") for i in range(len(chunks))]) if chunks else F.array().cast("array<int>")
+    none = F.array().cast("array<int>")
+    if index.needs:
+        out = with_fields(out, chunks)
+        out = with_fields(out, [found.alias("__rests")], out.columns[: -len(chunks)])
+        listed = tuple(c for (_, _, name), c in names.items() if name == "keywords")
+        out = matches(out, index, "__rests", "__found", listed)
+        out = with_fields(out, [F.coalesce("__found", none).alias("__numbers"), has_rules.alias("__has")], df.columns)
+        numbers = F.col("__numbers")
+    else:
+        out = with_fields(out, [*chunks, has_rules.alias("__has")], df.columns)
+        numbers = found
     out = with_fields(out, [F.when(F.col("__has"), numbers).alias("__hits")], [*df.columns, "__has"])
     table = _table(used)
     rule_of = lambda i: F.get(table, i)

@@ -142,6 +142,49 @@ def e5(spark, sf):
     return m.select(F.col("offset").alias("event_id"), ids.alias("matched"), F.col("sigma_state").alias("state"))
 
 
+def many_rules(n: int) -> list[tuple]:
+    """Rules of all shapes: an equality, a number, a list, substrings of a field and of the keywords, and, for one in
+    a hundred, an alternative, which has no anchor. Rule ``i`` of shape ``i % 6`` names values from its own number."""
+    shapes = {
+        0: ("suricata", "{{alert.signature}} = 'SIG {i}' AND {{#alert.signature_id}} > 2000"),
+        1: ("snoopy", "{{cmd}} LIKE '%cmd{d} -a {i}%' AND {{username}} = 'root'"),
+        2: ("windows", "{{#winlog.event_id}} = {w} AND {{process.name}} LIKE 'proc%'"),
+        3: ("suricata", "exists({{keywords}}, x -> contains(x, 'GET /{i}')) AND ({{host}} LIKE 'host-%')"),
+        4: ("windows", "{{winlog.user.name}} IN ('user{i}', 'user{j}') AND NOT {{winlog.task}} = 'Task 3'"),
+        5: ("snoopy", "{{cmd}} LIKE '%-a {i}%' OR {{login}} = 'user{i}'"),
+    }
+    out = []
+    for i in range(n):
+        kind, text = shapes[i % 6 if i % 100 == 5 or i % 6 != 5 else 1]
+        condition = text.format(i=i, j=i + 1, d=i % 10, w=4600 + i % 1000)
+        out.append((f"m{i:05d}", f"rule {i}", kind, [], condition))
+    return out
+
+
+MANY = 2000
+MANY_SQL = EV + f""", n AS (SELECT i, CASE WHEN i%100=5 OR i%6<>5 THEN i%6 ELSE 1 END AS shape FROM range({MANY}) r(i)),
+  hits AS (
+    SELECT event_id, i FROM ev JOIN n ON shape=0 AND {EVE_ALERT} AND k=i AND k>0
+    UNION ALL SELECT event_id, i FROM ev JOIN n ON shape=1 AND kind='snoopy' AND k%10=i%10 AND starts_with(CAST(event_id AS VARCHAR), CAST(i AS VARCHAR))
+    UNION ALL SELECT event_id, i FROM ev JOIN n ON shape=2 AND kind='windows' AND k=i%1000
+    UNION ALL SELECT event_id, i FROM ev JOIN n ON shape=3 AND kind='suricata' AND k%4=0 AND starts_with(CAST(k AS VARCHAR), CAST(i AS VARCHAR))
+    UNION ALL SELECT event_id, i FROM ev JOIN n ON shape=4 AND kind IN ('windows','sysmon') AND uid IN (i, i+1) AND k%6<>3
+    UNION ALL SELECT event_id, i FROM ev JOIN n ON shape=5 AND kind='snoopy' AND (uid=i OR starts_with(CAST(event_id AS VARCHAR), CAST(i AS VARCHAR))))
+"""
+
+
+@query("e5_rules_indexed", MANY_SQL + """SELECT event_id, count(i) AS n, coalesce(string_agg('m'||lpad(CAST(i AS VARCHAR), 5, '0'), ',' ORDER BY i), '') AS matched,
+      CASE WHEN kind='syslog' THEN 'no-ruleset' WHEN count(i)>0 THEN 'match' ELSE 'miss' END AS state
+    FROM ev LEFT JOIN hits USING (event_id) GROUP BY event_id, kind""")
+def e5_indexed(spark, sf):
+    """Two thousand rules, found by their anchors."""
+    table = spark.createDataFrame(many_rules(MANY), rules_table(spark).schema)
+    m = match_rules(_decoded(spark, sf), load_rules(table))
+    ids = F.coalesce(F.array_join(F.transform("sigma_results", lambda r: r["rule_id"]), ","), F.lit(""))
+    n = F.coalesce(F.size("sigma_results"), F.lit(0)).cast("bigint")
+    return m.select(F.col("offset").alias("event_id"), n.alias("n"), ids.alias("matched"), F.col("sigma_state").alias("state"))
+
+
 @query("e5_rules_sysmon", EV + "SELECT event_id, k%6=1 AS matched FROM ev WHERE kind='sysmon'")
 def e5_sysmon(spark, sf):
     rows = render.json_events(spark, sf).filter("kind = 'sysmon'")

@@ -68,15 +68,21 @@ def _template(host: Column, ip: Column) -> Column:
 
 
 def join_assets(df: DataFrame, index: Lookup, spread: list[str] | None = None) -> DataFrame:
-    """Self lookup: by address, else by host. A hit replaces the template. Adds ``asset``."""
+    """Self lookup: by address, else by host. A hit replaces the template.
+
+    Adds ``asset``, ``host_asked`` (the host, where it was looked up: no address answered) and ``host_missed``.
+    """
     spread = spread or SPREAD
     out = attach(df, index, F.col("ip"), "__by_ip", spread)
     host = F.when(F.col("__by_ip").isNull() & (F.col("host") != ""), F.col("host"))
     out = attach(out, index, host, "__by_host", spread)
     found = F.coalesce("__by_ip", "__by_host")
-    return out.withColumn("asset", F.coalesce(found, _template(F.col("host"), F.col("ip")))).withColumn(
-        "host_missed", F.coalesce((F.col("host") != "") & found.isNull(), F.lit(False))
-    ).drop("__by_ip", "__by_host")
+    return (
+        out.withColumn("asset", F.coalesce(found, _template(F.col("host"), F.col("ip"))))
+        .withColumn("host_asked", host)
+        .withColumn("host_missed", F.coalesce((F.col("host") != "") & found.isNull(), F.lit(False)))
+        .drop("__by_ip", "__by_host")
+    )
 
 
 def join_endpoints(df: DataFrame, index: Lookup, spread: list[str] | None = None) -> DataFrame:
@@ -101,6 +107,16 @@ def missing_hosts(df: DataFrame, index: DataFrame) -> DataFrame:
     return no_ip.select("host").distinct().join(keys.withColumnRenamed("key", "host"), "host", "left_anti")
 
 
+def host_answers(joined: DataFrame) -> DataFrame:
+    """(host, present): each host that was looked up, and whether nothing answered to it.
+
+    ``joined`` has ``host_asked`` and ``host_missed``. The registry does not change within a batch, so all rows of a
+    host agree; they are reduced before they are shuffled.
+    """
+    asked = joined.filter(F.col("host_asked").isNotNull())
+    return asked.groupBy(F.col("host_asked").alias("host")).agg(F.bool_or("host_missed").alias("present"))
+
+
 def event_technique() -> Column:
     """Technique an event names itself: STRUCT<ID, Name, URL, Phases>, null when none.
 
@@ -223,7 +239,7 @@ def enrich(
     sysmon_rules: bool = False,
     use_signature: bool = False,
 ) -> DataFrame:
-    """Envelope with ``kind`` -> envelope, event_time, ``GameMeta``, host_missed, sigma_state, ``_error``."""
+    """Envelope with ``kind`` -> envelope, event_time, ``GameMeta``, host_asked, host_missed, sigma_state, ``_error``."""
     carried = list(events.columns)
     decoded = decode(events, col)
     fields = [
@@ -251,7 +267,7 @@ def enrich(
         F.col("dest").alias("Dest"),
     )
     ok = F.col("_error").isNull()
-    kept = [*carried, "event_time", "rec", "host_missed", "sigma_state", "_error"]
+    kept = [*carried, "event_time", "rec", "host_asked", "host_missed", "sigma_state", "_error"]
     return with_fields(out, [F.when(ok, meta).alias("GameMeta")], kept)
 
 

@@ -20,5 +20,11 @@ def missing_sids(alerts: DataFrame, sid_map: DataFrame) -> DataFrame:
     return seen.join(sid_map.select(F.col("sid").cast("bigint").alias("sid")), "sid", "left_anti")
 
 
+def sid_answers(joined: DataFrame) -> DataFrame:
+    """(sid, msg, present): each id that alerts carried, and whether no mapping answered to it."""
+    seen = joined.filter(F.col("sid").isNotNull())
+    return seen.groupBy("sid").agg(F.min("msg").alias("msg"), F.bool_and(~F.col("mapped")).alias("present"))
+
+
 def sid_counts(joined: DataFrame) -> DataFrame:
     return joined.agg(F.count_if("mapped").alias("matches"), F.count_if(~F.col("mapped")).alias("misses"))

@@ -13,15 +13,20 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logspark.functions.joins import Lookup
-from logspark.operators.enrich import enrich
-from logspark.operators.inventory import asset_index, index_lookup
+from logspark.operators.enrich import enrich, host_answers
+from logspark.operators.inventory import asset_index, index_lookup, latest_by
 from logspark.operators.rules import Rule
+from logspark.operators.sidmap import join_sid_map, sid_answers
 from logspark.schemas import RECORD
 from logspark.sources.dimensions import parse_assets
 from logspark.sources.topics import with_kind
-from logspark.streaming.registry import Registry, first_wins
+from logspark.streaming.registry import Registry, first_wins, last_wins, retractable
 
 INDEX_SCHEMA = f"key STRING, {RECORD}"
+MISSING_HOSTS = "host STRING"
+MISSING_SIDS = "sid BIGINT, msg STRING"
+ARRIVAL = "STRUCT<timestamp: TIMESTAMP, topic: STRING, partition: INT, offset: BIGINT>"
+SID_MAP_STATE = f"sid BIGINT, tactic STRING, id STRING, name STRING, msg STRING, seq {ARRIVAL}"
 
 
 def run_batches(
@@ -48,11 +53,13 @@ def start_enrich(
     checkpoint: str,
     rules: list[Rule] | None = None,
     once: bool = False,
+    missing: Registry | None = None,
 ) -> StreamingQuery:
     """Enrich a stream of envelopes that carries events and asset records.
 
     ``sink(enriched, batch_id)`` must be idempotent per batch id (e.g. write to a folder named by
-    it), as a micro-batch may run twice after a failure.
+    it), as a micro-batch may run twice after a failure. ``missing`` (``MISSING_HOSTS``) is the set of hosts that
+    nothing answers to: a host enters it when it is missed, and leaves it when a later batch finds it.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -61,11 +68,60 @@ def start_enrich(
         records = assets.filter(F.col("_error").isNull()).withColumn("seq", F.struct("timestamp", "topic", "partition", "offset"))
         index = registry.update(asset_index(records, "seq"), batch_id, first_wins)
         events = with_kind(batch.filter(F.col("topic") != asset_topic), topic_map).drop("_error")
-        sink(enrich(events, index_lookup(index), techniques, rules), batch_id)
+        enriched = enrich(events, index_lookup(index), techniques, rules)
+        if missing is not None:
+            enriched = enriched.persist()
+        try:
+            sink(enriched, batch_id)
+            if missing is not None:
+                missing.update(host_answers(enriched), batch_id, retractable)
+        finally:
+            enriched.unpersist()
 
     return run_batches(stream, each, checkpoint, once)
 
 
+def start_sid_map(
+    stream: DataFrame,
+    mappings: Registry,
+    missing: Registry,
+    map_topic: str,
+    checkpoint: str,
+    once: bool = False,
+) -> StreamingQuery:
+    """Keep the newest mapping per signature id and the set of ids that alerts carry and no mapping answers to.
+
+    ``stream`` has envelopes: mapping rows as JSON on ``map_topic``, alerts on the others. ``mappings`` holds
+    ``SID_MAP_STATE``, ``missing`` ``MISSING_SIDS``. An id whose mapping arrives later leaves the set: at the next
+    alert that carries it, or at once, as the mappings of a batch count as asked for.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        fresh = sid_map_messages(batch.filter(F.col("topic") == map_topic))
+        mappings.update(latest_by(fresh, "sid", "seq"), batch_id, last_wins("sid", "seq"))
+        alerts = alert_sids(batch.filter(F.col("topic") != map_topic))
+        asked = alerts.select("sid").unionByName(fresh.select("sid")).distinct()
+        known = mappings.touching(asked)
+        joined = join_sid_map(alerts.unionByName(fresh.select("sid", "msg")), known, ["sid", "msg"])
+        missing.update(sid_answers(joined), batch_id, retractable)
+
+    return run_batches(stream, each, checkpoint, once)
+
+
+def sid_map_messages(rows: DataFrame) -> DataFrame:
+    """Mapping rows of their topic, with their place in the order of arrival; broken ones are left out."""
+    fields = F.from_json("value", "sid BIGINT, tactic STRING, id STRING, name STRING, msg STRING")
+    seq = F.struct("timestamp", "topic", "partition", "offset").alias("seq")
+    return rows.select(fields.alias("m"), seq).select("m.*", "seq").filter(F.col("sid").isNotNull())
+
+
+def alert_sids(rows: DataFrame) -> DataFrame:
+    """(sid, msg) of events that carry a signature id."""
+    sid = F.get_json_object("value", "$.alert.signature_id").try_cast("bigint")
+    found = rows.select(sid.alias("sid"), F.get_json_object("value", "$.alert.signature").alias("msg"))
+    return found.filter(F.col("sid").isNotNull())
+
+
 def start_parse(
     stream: DataFrame,
     job: Callable[[DataFrame], DataFrame],

@@ -52,6 +52,25 @@ def slow_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def first_of_groups(texts, size=5, level=0.8):
+    """Positions of the first text of each group that all pairs of a similarity of ``level`` or more link."""
+    sets = []
+    for text in texts:
+        w = (text or "").encode().split()
+        w = [x.lower() for x in w]
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or {tuple(w)})
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            x, y = sets[i], sets[j]
+            if group[i] != group[j] and level * max(len(x), len(y)) <= min(len(x), len(y)):
+                common = len(x & y)
+                if common >= level * (len(x) + len(y) - common):
+                    low, high = sorted((group[i], group[j]))
+                    group = [low if g == high else g for g in group]
+    return [i for i in range(len(texts)) if group[i] == i]
+
+
 def test_fingerprint_is_that_of_sparks_hash_and_of_blocks(spark):
     assert simhash.fingerprint(b"A b C") == spark.sql("SELECT xxhash64('a b c') AS h").first()["h"] % (1 << 64)
     text = words_of(1, 5000).encode()

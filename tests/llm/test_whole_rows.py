@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
+import pytest
+
 from logspark.llm import near_copies, perplexity, simhash, warc
 from logspark.session import scratch_path
-from test_operators import docs_of, words_of
+from test_operators import docs_of, first_of_groups, words_of
 
 
 def test_equal_records_of_one_bundle_are_all_read(spark):
@@ -28,8 +31,6 @@ def test_copies_of_a_text_do_not_move_the_band_of_their_language(spark):
 
 
 def test_near_copies_are_the_groups_of_all_pairs_at_the_level(spark, monkeypatch):
-    import random
-
     import corpus_pipeline
 
     rng, rows = random.Random(4), []
@@ -60,3 +61,27 @@ def test_each_near_duplicate_group_keeps_a_row_whatever_its_id(spark):
     for operator in (simhash, near_copies):
         kept = operator.keep_one(docs_of(spark, rows)).collect()
         assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(None, a), (None, b), (7, c), (7, d)])
+
+
+@pytest.mark.parametrize("copies", [300, 90])
+def test_crowded_bands_lose_no_link(spark, copies):
+    """Copies of one text with more and more edits: some link only through others, some not at all."""
+    rng = random.Random(copies)
+    base = words_of(50, 200, 5000).split()
+    texts = []
+    for i in range(copies):
+        words = list(base)
+        for k in range(rng.choice([0, 1, 2, 4, 6, 8, 10, 12])):
+            words[rng.randrange(200)] = f"new{i}-{k}"
+        texts.append(" ".join(words))
+    want = first_of_groups(texts)
+    assert 5 < len(want) < copies - 5
+    docs = docs_of(spark, list(enumerate(texts)))
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == want
+
+
+def test_centres_are_taken_in_turns_until_few_are_left(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(near_copies, "LINEAR", 0)
+    texts = [words_of(s, 120, 5000).rsplit(" ", k)[0] for s in range(4) for k in range(1, 8)]
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs_of(spark, list(enumerate(texts)))).collect()) == first_of_groups(texts)

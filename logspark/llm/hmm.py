@@ -8,6 +8,8 @@ size, while the counts of words stay a distributed table that grows with the cor
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +28,13 @@ ENDING_BYTES = 3
 FREQUENT = 1 << 18
 END = b"\n"  # cannot be a word
 ALPHA = 0.1
-SEGMENT = 256
-WARM_DOCS, WARM_SEGMENTS, WARM_ROUNDS = 1024, 4, 12
-ROUNDS = 2
+# the start tells states apart by so much; the rounds over the corpus do the rest
+SPREAD, STAY = 0.9, 30.0
+ROUNDS = 6
 SLICE = 4 << 20
-TRAIN_TOKENS = 1 << 18
+TRAIN_TOKENS = 1 << 20
+# words that a task remembers before it starts anew
+WORDS = 1 << 18
 SCORE_TOKENS = 1 << 22
 
 
@@ -96,54 +100,66 @@ def most_frequent(counts: DataFrame) -> pa.Table:
     return counts.where(level >= lowest).select("h", "c").toArrow().sort_by([("c", "descending"), ("h", "ascending")])
 
 
+class Vocabulary(dict):
+    """A number for each word that a task meets, with its class, and its log10 weight if frequent, else its hash."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> None:
+        super().__init__()
+        self.top = dict(zip(hashes.tolist(), zip(np.log10(counts + ALPHA).tolist(), classes.tolist())))
+        self.logs, self.classes, self.rare = np.zeros(WORDS), np.zeros(WORDS, np.uint16), np.zeros(WORDS, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        at = len(self)
+        if at == len(self.logs):
+            self.logs, self.classes, self.rare = (np.concatenate((x, np.zeros_like(x))) for x in (self.logs, self.classes, self.rare))
+        h = word_hash(word)
+        entry = self.top.get(h)
+        if entry is None:
+            self.classes[at], self.rare[at] = ending(word), h
+        else:
+            self.logs[at], self.classes[at] = entry[0], entry[1] if entry[1] >= 0 else ending(word)
+        self[word] = at
+        return at
+
+
 def encode(docs: DataFrame, frequent, class_logs) -> DataFrame:
     """One row per document, written once: its classes in two bytes each, sums over frequent words, and the rare words left.
 
-    ``frequent`` holds sorted hashes, counts and classes (-1: by ending); ``class_logs`` the log10 weight of each class.
+    ``frequent`` holds hashes, counts and classes (-1: by ending); ``class_logs`` the log10 weight of each class.
     """
 
     def run(batches):
-        hashes, counts, classes = frequent.value
-        logs = class_logs.value
-        top = {int(h): (float(np.log10(c + ALPHA)), int(k)) for h, c, k in zip(hashes, counts, classes)}
-        known: dict[bytes, tuple[float, int, int]] = {}
+        logs, known = class_logs.value, Vocabulary(*frequent.value)
         base = TaskContext.get().partitionId() << 33
         row = 0
         for batch in slices(batches, "text", SLICE):
-            out: dict[str, list] = {n: [] for n in ("uid", "n_tokens", "n_known", "words_log", "class_log", "classes", "rare", "times")}
-            for text in text_bytes(batch["text"]):
-                words = tokens(text)
-                bag = Counter(words)
-                codes, rare, times, found, total = {}, [], [], 0, 0.0
-                for word, n in bag.items():
-                    entry = known.get(word)
-                    if entry is None:
-                        h = word_hash(word)
-                        log, own = top.get(h, (0.0, -2))
-                        entry = (log, own if own >= 0 else ending(word), 0 if own != -2 else h)
-                        if len(known) < 300_000:
-                            known[word] = entry
-                    log, code, h = entry
-                    codes[word] = code
-                    if h:
-                        rare.append(h)
-                        times.append(n)
-                    else:
-                        found += n
-                        total += n * log
-                sequence = np.fromiter(map(codes.__getitem__, words), np.uint16, len(words))
-                out["uid"].append(base + row)
-                out["n_tokens"].append(len(words))
-                out["n_known"].append(found)
-                out["words_log"].append(total)
-                out["class_log"].append(float(logs[sequence].sum()))
-                out["classes"].append(sequence.tobytes())
-                out["rare"].append(np.array(rare, np.int64))
-                out["times"].append(np.array(times, np.int32))
-                row += 1
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            columns = [pa.array(v, k) for v, k in zip(out.values(), kinds)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], *columns], ["doc_id", "held_out", *out])
+            if len(known) > WORDS:
+                known = Vocabulary(*frequent.value)
+            texts = [tokens(text) for text in text_bytes(batch["text"])]
+            lengths = np.array([len(t) for t in texts])
+            ends = np.cumsum(lengths)
+            starts = ends - lengths
+            at = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, ends[-1])
+            del texts
+            sequence, hashes = known.classes[at], known.rare[at]
+            rare = hashes != 0
+            # each rare word of a document once, with how often it has it
+            place = np.repeat(np.arange(len(lengths)), lengths)[rare] * len(known) + at[rare]
+            place, times = np.unique(place, return_counts=True)
+            doc, word = np.divmod(place, len(known))
+            cuts = pa.array(np.searchsorted(doc, np.arange(len(lengths) + 1)).astype(np.int32))
+            columns = {
+                "uid": pa.array(base + row + np.arange(len(lengths))),
+                "n_tokens": pa.array(lengths.astype(np.int64)),
+                "n_known": pa.array(np.add.reduceat(~rare, starts, dtype=np.int64)),
+                "words_log": pa.array(np.add.reduceat(known.logs[at], starts)),
+                "class_log": pa.array(np.add.reduceat(logs[sequence], starts)),
+                "classes": pa.array([sequence[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                "rare": pa.ListArray.from_arrays(cuts, pa.array(known.rare[word])),
+                "times": pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int32))),
+            }
+            row += len(lengths)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], *columns.values()], ["doc_id", "held_out", *columns])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
@@ -154,43 +170,50 @@ def encode(docs: DataFrame, frequent, class_logs) -> DataFrame:
 
 
 def expected_counts(sequences: list[np.ndarray], start, moves, emits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch: expected starts, transitions and emissions of many sequences at once, by scaled forward-backward."""
+    """Baum-Welch: expected starts, transitions and emissions of many whole sequences, by scaled forward-backward.
+
+    Sequences are sorted by length, so those that go on at a step are the first ones of the step before; all positions
+    lie step by step in one array, and a step is a slice of it.
+    """
     order = np.argsort([-len(s) for s in sequences], kind="stable")
     lengths = np.array([len(sequences[i]) for i in order])
     steps = int(lengths[0])
     active = np.searchsorted(-lengths, -np.arange(steps), side="left")
-    grid = np.zeros((steps, len(order)), np.uint16)
-    for j, i in enumerate(order):
-        grid[: lengths[j], j] = sequences[i]
-    by_class = np.ascontiguousarray(emits.T)
-    alphas, scales = [], []
-    for t in range(steps):
-        n = active[t]
-        seen = by_class[grid[t, :n]]
-        alpha = (start if t == 0 else alphas[-1][:n] @ moves) * seen
-        scale = alpha.sum(1, keepdims=True)
-        alphas.append(alpha / scale)
-        scales.append(scale)
+    ends = np.cumsum(active)
+    begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    flat = np.concatenate([sequences[i] for i in order])
+    grid = np.empty(len(flat), np.uint16)
+    for t, n, end in zip(range(steps), active.tolist(), ends.tolist()):
+        grid[end - n : end] = flat[begins[:n] + t]
     k = len(start)
+    ahead_of, back = np.ascontiguousarray(moves.T.astype(np.float32)), moves.astype(np.float32)
+    # a row for each state: sums over states then run along whole rows
+    seen = np.take(emits.astype(np.float32), grid, axis=1)
+    alphas, scales = np.empty_like(seen), np.empty(len(grid), np.float32)
+    alpha = np.broadcast_to(start.astype(np.float32)[:, None], (k, active[0]))
+    for t, n, end in zip(range(steps), active.tolist(), ends.tolist()):
+        here = slice(end - n, end)
+        alpha = (ahead_of @ alpha[:, :n] if t else alpha) * seen[:, here]
+        scale = alpha.sum(0)
+        alpha /= scale
+        alphas[:, here], scales[here] = alpha, scale
+    seen /= scales
     pairs = np.zeros((k, k))
-    weights = np.zeros_like(by_class, dtype=np.float64)
-    beta = np.ones((active[-1], k))
+    beta = np.ones((k, active[-1]), np.float32)
     for t in range(steps - 1, -1, -1):
-        n = active[t]
-        if len(beta) < n:  # sequences that end here
-            beta = np.concatenate((beta, np.ones((n - len(beta), k))))
-        gamma = alphas[t] * beta
-        for s in range(k):
-            weights[:, s] += np.bincount(grid[t, :n], gamma[:, s], minlength=len(by_class)) if n > 2048 else 0
-        if n <= 2048:
-            np.add.at(weights, grid[t, :n], gamma)
+        n, end = int(active[t]), int(ends[t])
+        if beta.shape[1] < n:  # sequences that end here
+            beta = np.concatenate((beta, np.ones((k, n - beta.shape[1]), np.float32)), axis=1)
+        here = slice(end - n, end)
         if t:
-            ahead = by_class[grid[t, :n]] * beta / scales[t]
-            pairs += alphas[t - 1][:n].T @ ahead
-            beta = ahead @ moves.T
-        else:
-            first = gamma.sum(0)
-    return first, moves * pairs, weights.T
+            ahead = seen[:, here] * beta
+            before = end - n - int(active[t - 1])
+            pairs += alphas[:, before : before + n] @ ahead.T
+        alphas[:, here] *= beta  # what was seen there, from here on
+        if t:
+            beta = back @ ahead
+    weights = np.stack([np.bincount(grid, row, minlength=emits.shape[1]) for row in alphas])
+    return alphas[:, : active[0]].sum(1, dtype=np.float64), moves * pairs, weights
 
 
 def log_likelihoods(sequences: list[np.ndarray], start, moves, emits) -> np.ndarray:
@@ -221,13 +244,7 @@ def smoothed(start, moves, emits, prior) -> tuple[np.ndarray, np.ndarray, np.nda
     return start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(1, keepdims=True)
 
 
-def segments(data: bytes, most: int | None = None) -> list[np.ndarray]:
-    codes = np.frombuffer(data, np.uint16)
-    cuts = range(0, len(codes), SEGMENT)
-    return [codes[i : i + SEGMENT] for i in (cuts if most is None else list(cuts)[:most])]
-
-
-def grouped(parts: list[np.ndarray], limit: int):
+def grouped(parts: Iterable[np.ndarray], limit: int) -> Iterator[list[np.ndarray]]:
     """Lists of sequences of about ``limit`` tokens."""
     held, size = [], 0
     for part in parts:
@@ -240,31 +257,16 @@ def grouped(parts: list[np.ndarray], limit: int):
         yield held
 
 
-def warm_start(encoded: DataFrame, prior: np.ndarray):
-    """A first model from a bounded sample of training documents, to tell the states apart.
-
-    WARM_DOCS documents in hash order, WARM_SEGMENTS segments of each. The rounds over the whole corpus that follow
-    replace all its counts.
-    """
-    learned = encoded.where("NOT held_out")
-    chosen = learned.select("uid", F.xxhash64("doc_id", "uid").alias("h")).orderBy("h", "uid").limit(WARM_DOCS)
-    sample = learned.join(F.broadcast(chosen.select("uid")), "uid")
-    cut = sample.select("uid", F.substring("classes", 1, 2 * SEGMENT * WARM_SEGMENTS).alias("c"))
-    rows = sorted(cut.collect(), key=lambda r: r["uid"])
-    parts = [s for r in rows for s in segments(bytes(r["c"]))]
+def seeded_start(prior: np.ndarray):
+    """The model before the first round: every state sees the classes as often as the corpus has them, slightly changed
+    at random, and rather stays than moves."""
     rng = np.random.default_rng(7)
-    emits = prior * rng.uniform(0.5, 1.5, (STATES, CLASSES))
-    model = smoothed(np.ones(STATES), rng.uniform(0.5, 1.5, (STATES, STATES)) + 3 * np.eye(STATES), 1e5 * emits, prior)
-    for _ in range(WARM_ROUNDS if parts else 0):
-        sums = [0, 0, 0]
-        for part in grouped(parts, TRAIN_TOKENS):
-            sums = [a + b for a, b in zip(sums, expected_counts(part, *model))]
-        model = smoothed(*sums, prior)
-    return model
+    emits = prior * rng.uniform(1 - SPREAD, 1 + SPREAD, (STATES, CLASSES))
+    return smoothed(np.ones(STATES), rng.uniform(0.5, 1.5, (STATES, STATES)) + STAY * np.eye(STATES), 1e5 * emits, prior)
 
 
 def baum_welch_round(encoded: DataFrame, model, prior: np.ndarray):
-    """One round over all training documents, in segments: each task sends its expected counts, Spark adds them up.
+    """One round over all training documents, each whole: each task sends its expected counts, Spark adds them up.
 
     Counts travel in millionths, as integers, so the sums do not depend on the order of tasks.
     """
@@ -272,11 +274,10 @@ def baum_welch_round(encoded: DataFrame, model, prior: np.ndarray):
 
     def run(batches):
         sums = None
-        for batch in batches:
-            parts = [s for data in batch["classes"].to_pylist() for s in segments(data)]
-            for part in grouped(parts, TRAIN_TOKENS):
-                got = expected_counts(part, *shared.value)
-                sums = got if sums is None else [a + b for a, b in zip(sums, got)]
+        texts = (np.frombuffer(data, np.uint16) for batch in batches for data in batch["classes"].to_pylist())
+        for part in grouped(texts, TRAIN_TOKENS):
+            got = expected_counts(part, *shared.value)
+            sums = got if sums is None else [a + b for a, b in zip(sums, got)]
         if sums is not None:
             whole = np.round(np.concatenate((sums[2].T, sums[1], sums[0][None])) * 1e6).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(whole), dtype=np.int32)), *map(pa.array, whole.T)], names)
@@ -319,7 +320,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     context = spark.sparkContext
     frequent = context.broadcast((top["h"].to_numpy(), top["c"].to_numpy(), ranked))
     encoded = encode(own, frequent, context.broadcast(class_logs))
-    model = warm_start(encoded, prior)
+    model = seeded_start(prior)
     for _ in range(ROUNDS):
         model = baum_welch_round(encoded, model, prior)
     final = context.broadcast(model)

@@ -327,6 +327,44 @@ def test_forward_and_expected_counts(monkeypatch):
     assert np.allclose(pairs, want[0]) and np.allclose(weights, want[1]) and np.allclose(first, want[2])
 
 
+def test_scores_equal_a_plain_model(spark, monkeypatch):
+    """The whole score of whole texts: classes, rounds over all training texts, forward sums and words within classes."""
+    monkeypatch.setattr(hmm, "OWN", 20)
+    monkeypatch.setattr(hmm, "ENDINGS", 10)
+    monkeypatch.setattr(hmm, "CLASSES", 30)
+    monkeypatch.setattr(hmm, "FREQUENT", 35)
+    monkeypatch.setattr(hmm, "ROUNDS", 3)
+    monkeypatch.setattr(hmm, "TRAIN_TOKENS", 300)
+    rng = random.Random(8)
+    words = [f"w{min(int(rng.paretovariate(0.5)), 90)}" for _ in range(4000)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(1, 40)))) for i in range(120)] + [(500, None), (501, "W1 neverseen w1")]
+    got = {r["doc_id"]: r for r in hmm.score(docs_of(spark, rows).repartition(4)).collect()}
+
+    texts = {i: hmm.tokens((t or "").encode()) for i, t in rows}
+    taught = {i: t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10}
+    counts = Counter(w for t in taught.values() for w in t)
+    # equal counts: by hash, as the operator orders them
+    ranked = sorted(counts, key=lambda w: (-counts[w], hmm.word_hash(w)))
+    own = {w: k for k, w in enumerate(ranked[:20])}
+    class_of = lambda w: own[w] if w in own else hmm.ending(w)
+    whole, kinds = Counter(), Counter()
+    for w, n in counts.items():
+        whole[class_of(w)] += n
+        kinds[class_of(w)] += 1
+    prior = np.array([whole[c] + (c >= 20) for c in range(30)], float)
+    prior /= prior.sum()
+    model = hmm.seeded_start(prior)
+    for _ in range(3):
+        model = hmm.smoothed(*hmm.expected_counts([np.array([class_of(w) for w in t], np.uint16) for t in taught.values()], *model), prior)
+    for i, t in texts.items():
+        path = slow_forward([class_of(w) for w in t], *model)
+        inside = sum(0 if w in own else math.log10((counts[w] + 0.1) / (whole[class_of(w)] + 0.1 * (kinds[class_of(w)] + 1))) for w in t)
+        assert got[i]["score"] == pytest.approx(path + inside, rel=1e-4)
+        base = sum(math.log10((counts[w] + 0.1) / (counts.total() + 0.1 * (len(counts) + 1))) for w in t)
+        assert got[i]["base_score"] == pytest.approx(base) and got[i]["n_known"] == sum(w in counts for w in t)
+        assert got[i]["train_tokens"] == counts.total() and got[i]["n_tokens"] == len(t)
+
+
 @pytest.mark.parametrize("frequent", [4, 1 << 18])
 def test_scores(spark, monkeypatch, frequent):
     monkeypatch.setattr(hmm, "FREQUENT", frequent)

@@ -10,6 +10,7 @@ from logspark.llm.common import apart, saved, word_count
 
 BUCKETS = 4096
 HASH_DIGITS = 15
+RUN = 10_000
 ADDED = ("__size", "__source_size", "__target", "__repeats")
 
 
@@ -73,12 +74,13 @@ def mix(
     A source with target t and size s takes every document floor(t/s) times, and once more those that come first in
     a seeded order, until the rest of the target is met as nearly as whole documents allow. The order is by hash;
     documents are summed in hash buckets first, so only the bucket in which the target falls is sorted.
-    Null sources are a source; null, empty texts have size 0 and are taken with the whole rounds only. Rows with
-    equal id and size have equal order and are taken together. No rows: no rows.
+    Null sources are a source; null, empty texts have size 0 and are taken with the whole rounds only. The order is by
+    id, source and text, so rows that share an id (or have none) are told apart. Of rows that are equal in all three as
+    many are taken as bring the sum nearest to the rest; which of them does not matter. No rows: no rows.
     """
     docs, new, old = apart(docs, ADDED)
     id_col, source_col = new[id_col], new[source_col]
-    own = docs.withColumn("__size", size(F.col(new[text_col]))).withColumn("__hash", seeded_hash(seed, id_col, source_col))
+    own = docs.withColumn("__size", size(F.col(new[text_col]))).withColumn("__hash", seeded_hash(seed, id_col, source_col, new[text_col]))
     own = own.withColumn("__bucket", F.pmod(F.col("__hash"), F.lit(BUCKETS)).cast("int"))
     slim = saved(own.select(F.col(source_col).alias("source"), "__bucket", "__hash", "__size"), "mixing-sizes")
     sums = slim.groupBy("source", "__bucket").agg(F.sum("__size").alias("n"))
@@ -96,35 +98,61 @@ def mix(
         .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("n")))
         .select("s", F.col("__bucket").alias("edge"), "before", "rest")
     )
-    # inside that bucket: the hash up to which documents are taken, where the sum comes nearest to the rest
+    # inside that bucket: the hash at which the sum reaches the rest, and what is still missing there
     inside = slim.join(edges, F.col("source").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("edge")))
-    inside = inside.groupBy("s", "__hash").agg(F.sum("__size").alias("n"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    inside = inside.groupBy("s", "__hash").agg(
+        F.sum("__size").alias("n"), F.count(F.lit(1)).alias("rows"), F.first("before").alias("before"), F.first("rest").alias("rest")
+    )
     upto = Window.partitionBy("s").orderBy("__hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     best = (
         inside.withColumn("sum", F.col("before") + F.sum("n").over(upto))
+        .where(F.col("sum") >= F.col("rest"))
         .groupBy("s")
-        .agg(
-            F.min(F.struct(F.abs(F.col("sum") - F.col("rest")).alias("off"), F.col("__hash").alias("last"))).alias("at"),
-            F.min(F.col("rest") - F.col("before")).alias("none"),
-        )
-        .select("s", F.when(F.col("at.off") < F.col("none"), F.col("at.last")).alias("last"))
+        .agg(F.min(F.struct("__hash", "rows", (F.col("rest") - F.col("sum") + F.col("n")).alias("missing"))).alias("at"))
+        .select("s", F.col("at.__hash").alias("last"), F.col("at.rows").alias("rows"), F.col("at.missing").alias("missing"))
     )
     cuts = (
         plan.select(F.col("source").alias("__source"), "source_size", "target", "whole", "rest")
         .join(edges.select(F.col("s").alias("e"), "edge"), F.col("__source").eqNullSafe(F.col("e")), "left")
         .join(best, F.col("__source").eqNullSafe(F.col("s")), "left")
-        .select("__source", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), "whole", "rest", "edge", "last")
+        .select("__source", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), "whole", "rest", "edge", "last", "rows", "missing")
     )
+    at_last = F.coalesce((F.col("__bucket") == F.col("edge")) & (F.col("__hash") == F.col("last")), F.lit(False))
     taken = F.when(F.col("rest") <= 0, F.lit(0)).otherwise(
         F.when(F.col("edge").isNull() | (F.col("__bucket") < F.col("edge")), 1)
-        .when((F.col("__bucket") == F.col("edge")) & (F.col("__hash") <= F.col("last")), 1)
+        .when((F.col("__bucket") == F.col("edge")) & (F.col("__hash") < F.col("last")), 1)
+        .when(at_last & (F.col("missing") * 2 > F.col("__size")), 1)
         .otherwise(0)
     )
     # written, so that Spark knows its size and broadcasts it only where it is small
     cuts = saved(cuts, "mixing-cuts")
     mixed = own.join(cuts, F.col(source_col).eqNullSafe(F.col("__source")))
     mixed = mixed.withColumn("__repeats", F.col("whole") + F.coalesce(taken, F.lit(0)))
-    return mixed.select(*docs.columns, *ADDED).toDF(*old, *ADDED)
+    out = mixed.select(*docs.columns, *ADDED)
+    if not cuts.where("rows > 1 AND rest > 0").isEmpty():
+        # several rows stand where the rest ends
+        several = at_last & (F.col("rows") > 1)
+        out = mixed.where(~several).select(*docs.columns, *ADDED).unionByName(shared_end(mixed.where(several), docs.columns))
+    return out.toDF(*old, *ADDED)
+
+
+def shared_end(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of one order: as many of them taken once more as bring their sum nearest to what is ``missing``.
+
+    Rows that agree in all columns are counted before they are shuffled, and written out again in runs of RUN, so no
+    task holds a large group. Columns must be of types that can be grouped.
+    """
+    kept = [*columns, "__size", "__source_size", "__target", "whole", "missing", "__source", "__hash"]
+    counted = rows.select(*kept).groupBy(*kept).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("__source", "__hash").orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+    before = F.coalesce(F.sum(F.col("n") * F.col("__size")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    exact = F.when(F.col("__size") > 0, F.ceil((F.col("missing") - before) / F.col("__size") - F.lit(0.5))).otherwise(F.lit(0))
+    counted = counted.withColumn("__k", F.least(F.greatest(exact, F.lit(0)), F.col("n")))
+    runs = counted.withColumn("__first", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"), F.lit(RUN).cast("bigint"))))
+    runs = runs.hint("rebalance")
+    each = runs.withColumn("__nth", F.explode(F.sequence("__first", F.least(F.col("__first") + (RUN - 1), F.col("n")))))
+    repeats = F.col("whole") + F.when(F.col("__nth") <= F.col("__k"), 1).otherwise(0)
+    return each.withColumn("__repeats", repeats).select(*columns, *ADDED)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

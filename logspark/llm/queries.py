@@ -185,8 +185,9 @@ FROM named
 # nearest to what whole rounds leave of the target (the shorter one of two).
 OP9_SQL = r"""
 WITH own AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-        CAST('0x' || substr(md5('17/' || coalesce(CAST(doc_id AS VARCHAR), '') || '/' || coalesce(source, '')), 1, 15) AS BIGINT) AS h
+    SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        CAST('0x' || substr(md5('17/' || coalesce(CAST(doc_id AS VARCHAR), '') || '/' || coalesce(source, '') || '/' || coalesce(text, '')), 1, 15)
+            AS BIGINT) AS h
     FROM documents
 ), sources AS (
     SELECT source, sum(size) AS source_size,
@@ -207,7 +208,7 @@ WITH own AS (
     SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets
 ), sums AS (
     SELECT own.*, CAST(source_size AS BIGINT) AS source_size, target, whole, target - whole * source_size AS rest,
-        sum(size) OVER (PARTITION BY own.source ORDER BY h % 4096, h) AS upto
+        sum(size) OVER (PARTITION BY own.source ORDER BY h % 4096, h, rid ROWS UNBOUNDED PRECEDING) AS upto
     FROM own JOIN plan ON own.source IS NOT DISTINCT FROM plan.source
 ), nearest AS (
     SELECT source, min_by(upto, (abs(upto - rest), upto)) AS best

@@ -560,6 +560,25 @@ def test_targets_and_taken(spark):
     assert mixing.repeated(mixed).columns == docs_of(spark, rows).columns
 
 
+@pytest.mark.parametrize("kind", ["null ids", "one id", "equal rows"])
+def test_hot_ids_and_equal_rows_still_meet_the_targets(spark, monkeypatch, kind):
+    monkeypatch.setattr(mixing, "RUN", 7)
+    rng = random.Random(4)
+    doc = lambda i: None if kind == "null ids" else 5
+    hot = [(doc(i), words_of(0 if kind == "equal rows" else i, 20 if kind == "equal rows" else rng.randrange(5, 60)), "en", "a") for i in range(300)]
+    rows = hot + [(1000 + i, words_of(i, rng.randrange(5, 60)), "en", "bc"[i % 2]) for i in range(200)]
+    got = mixing.mix(docs_of(spark, rows).repartition(3)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((r[0], r[1]) for r in rows)
+    largest = {s: max(r["__size"] for r in got if r["source"] == s) for s in "abc"}
+    for source in "abc":
+        own = [r for r in got if r["source"] == source]
+        taken = sum(r["__size"] * r["__repeats"] for r in own)
+        assert abs(taken - own[0]["__target"]) <= largest[source] / 2 + 1e-9
+        assert max(r["__repeats"] for r in own) <= 2
+    again = mixing.mix(docs_of(spark, rows).repartition(5)).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+
+
 def test_mixing_of_odd_rows(spark):
     frame = docs_of(spark, [(i, t, None, None) for i, t in ODD])
     assert mixing.mix(frame).count() == len(ODD)

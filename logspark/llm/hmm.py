@@ -30,11 +30,11 @@ END = b"\n"  # cannot be a word
 ALPHA = 0.1
 # the start tells states apart by so much; the rounds over the corpus do the rest
 SPREAD, STAY = 0.9, 30.0
-ROUNDS = 6
+ROUNDS = 4
 SLICE = 4 << 20
 TRAIN_TOKENS = 1 << 20
 # words that a task remembers before it starts anew
-WORDS = 1 << 18
+WORDS = 1 << 19
 SCORE_TOKENS = 1 << 22
 
 
@@ -101,26 +101,43 @@ def most_frequent(counts: DataFrame) -> pa.Table:
 
 
 class Vocabulary(dict):
-    """A number for each word that a task meets, with its class, and its log10 weight if frequent, else its hash."""
+    """A number for each word that a task meets, with its class, and its log10 weight if frequent, else its hash.
+
+    A new word only gets its number at first; ``settle`` works out the rest for all new words at once.
+    """
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> None:
         super().__init__()
-        self.top = dict(zip(hashes.tolist(), zip(np.log10(counts + ALPHA).tolist(), classes.tolist())))
-        self.logs, self.classes, self.rare = np.zeros(WORDS), np.zeros(WORDS, np.uint16), np.zeros(WORDS, np.int64)
+        order = np.argsort(hashes)
+        self.top = (hashes[order], np.log10(counts[order] + ALPHA), classes[order])
+        self.new: list[bytes] = []
+        self.endings: dict[bytes, int] = {}
+        self.logs, self.classes, self.rare = np.zeros(0), np.zeros(0, np.uint16), np.zeros(0, np.int64)
 
     def __missing__(self, word: bytes) -> int:
-        at = len(self)
-        if at == len(self.logs):
-            self.logs, self.classes, self.rare = (np.concatenate((x, np.zeros_like(x))) for x in (self.logs, self.classes, self.rare))
-        h = word_hash(word)
-        entry = self.top.get(h)
-        if entry is None:
-            self.classes[at], self.rare[at] = ending(word), h
-        else:
-            self.logs[at], self.classes[at] = entry[0], entry[1] if entry[1] >= 0 else ending(word)
-        self[word] = at
+        at = self[word] = len(self)
+        self.new.append(word)
         return at
 
+    def settle(self) -> None:
+        if not self.new:
+            return
+        hashes = np.fromiter(map(word_hash, self.new), np.int64, len(self.new))
+        for last in {w[-ENDING_BYTES:] for w in self.new} - self.endings.keys():
+            self.endings[last] = ending(last)
+        classes = np.fromiter((self.endings[w[-ENDING_BYTES:]] for w in self.new), np.int64, len(self.new))
+        top_hashes, top_logs, top_classes = self.top
+        spot = np.minimum(np.searchsorted(top_hashes, hashes), max(len(top_hashes) - 1, 0))
+        known = top_hashes[spot] == hashes if len(top_hashes) else np.zeros(len(hashes), bool)
+        at = spot[known]
+        logs = np.zeros(len(hashes))
+        logs[known] = top_logs[at]
+        classes[known] = np.where(top_classes[at] >= 0, top_classes[at], classes[known])
+        self.logs = np.concatenate((self.logs, logs))
+        self.classes = np.concatenate((self.classes, classes.astype(np.uint16)))
+        self.rare = np.concatenate((self.rare, np.where(known, 0, hashes)))
+        self.new.clear()
+
 
 def encode(docs: DataFrame, frequent, class_logs) -> DataFrame:
     """One row per document, written once: its classes in two bytes each, sums over frequent words, and the rare words left.
@@ -141,6 +158,7 @@ def encode(docs: DataFrame, frequent, class_logs) -> DataFrame:
             starts = ends - lengths
             at = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, ends[-1])
             del texts
+            known.settle()
             sequence, hashes = known.classes[at], known.rare[at]
             rare = hashes != 0
             # each rare word of a document once, with how often it has it

@@ -31,6 +31,11 @@ FRAME_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
 MAIN_WORDS = frozenset("article content entry post story".split())
+# Words that say where or what form an element has, but not what it is about.
+FORM_WORDS = frozenset(
+    "area bar block body bottom box button buttons card column container content group header heading inline inner item items left "
+    "line link links list main outer page panel post right row section site slot thread title top unit wrap wrapper".split()
+)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Frequent function words of the languages that the pages are written in.
 STOP_WORDS = frozenset(
@@ -50,7 +55,7 @@ STOP_DENSITY = 0.15
 LINK_DENSITY = 0.5
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
     r"|(?P<text>[^<]+|<(?![a-zA-Z/!?]))",
     re.S,
@@ -61,6 +66,19 @@ _RAW = re.compile(r"script|style|textarea|title|iframe|noscript|noframes|xmp")
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAMES = re.compile(r"[a-z]+")
 
+
+def names_frame(value: str) -> bool:
+    """Whether one name of a class or id says frame and nothing else: ``comment-list``, but not ``related-work``.
+
+    Inside the article a word alone is no sign, as sections are named after what they are about.
+    """
+    for name in value.split():
+        words = set(_NAMES.findall(name))
+        if words and not words.isdisjoint(FRAME_WORDS) and words <= FRAME_WORDS | FORM_WORDS:
+            return True
+    return False
+
+
 GOOD, BAD, OPEN = 1, -1, 0
 
 
@@ -80,7 +98,11 @@ def place_of(tag: str, attrs: str, inside: int) -> int:
         if name == "role" and value in FRAME_ROLES:
             return BAD
         words = set(_NAMES.findall(value)) if name in ("class", "id") and tag not in ("html", "body") and tag not in MAIN else ()
-        if words and not words.isdisjoint(FRAME_WORDS) and not (inside == GOOD and "header" in words):
+        if inside == GOOD:
+            # a heading may be called what it likes; so may the article's own header
+            if words and tag not in HEADINGS and "header" not in words and names_frame(value):
+                return BAD
+        elif words and not words.isdisjoint(FRAME_WORDS):
             return BAD
         if name == "role" and value in ("main", "article") or words and not words.isdisjoint(MAIN_WORDS):
             here = GOOD

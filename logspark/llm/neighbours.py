@@ -15,6 +15,8 @@ BUILD_BEAM = 40
 SEARCH_BEAM = 96
 RELAX = 1.2
 BATCH = 256
+# vectors that are smaller than the largest by more than this are compared in double precision
+NARROW = 1e-6
 
 
 def squares(vectors: np.ndarray, near: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -23,6 +25,15 @@ def squares(vectors: np.ndarray, near: np.ndarray, to: np.ndarray) -> np.ndarray
     return np.einsum("ijk,ijk->ij", gap, gap)
 
 
+def comparable(*groups: np.ndarray) -> list[np.ndarray]:
+    """The vectors in one scale in which squares neither overflow nor vanish: divided by the largest component of all,
+    in single precision unless the vectors' own sizes lie too far apart for it."""
+    sizes = np.concatenate([np.abs(g).max(1) for g in groups])
+    scale = sizes.max()
+    kind = np.float32 if sizes.min() > scale * NARROW else np.float64
+    return [(g / scale).astype(kind) for g in groups]
+
+
 def beam_search(vectors: np.ndarray, graph: np.ndarray, entry: int, to: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Best ``beam`` nodes (or as many as found; -1 behind) for each row of ``to``, by greedy walks, all rows at once."""
     rows, n = len(to), len(vectors)
@@ -30,7 +41,7 @@ def beam_search(vectors: np.ndarray, graph: np.ndarray, entry: int, to: np.ndarr
     seen = np.zeros((rows, n + 1), bool)
     seen[:, entry] = seen[:, n] = True
     ids = np.full((rows, beam), n, np.int64)
-    dist = np.full((rows, beam), np.inf, np.float32)
+    dist = np.full((rows, beam), np.inf, vectors.dtype)
     done = np.ones((rows, beam), bool)
     ids[:, 0], done[:, 0] = entry, False
     dist[:, 0] = squares(vectors, ids[:, :1], to)[:, 0]
@@ -116,6 +127,8 @@ def build_graph(vectors: np.ndarray) -> tuple[np.ndarray, int]:
             source, target = source[target < n], target[target < n]
             order = np.argsort(target, kind="stable")
             source, target = source[order], target[order]
+            if not len(target):
+                continue
             heads, first, sizes = np.unique(target, return_index=True, return_counts=True)
             # back edges in rounds of at most DEGREE a node, so that a popular node's rows stay short
             spot = np.arange(len(target)) - np.repeat(first, sizes)
@@ -165,7 +178,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
         ids = table["id"].to_numpy()
         order = np.argsort(ids)
         vectors, ids = vectors[order], ids[order]
-        graph, entry = build_graph(vectors.astype(np.float32))
+        graph, entry = build_graph(comparable(vectors)[0])
         row = {
             "shard": table["shard"][:1].combine_chunks(), "dim": table["dim"][:1].combine_chunks(), "entry": pa.array([entry], pa.int32()),
             "width": pa.array([graph.shape[1]], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()),
@@ -190,8 +203,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
             graph = np.frombuffer(one["graph"], np.int32).reshape(-1, one["width"])
             ids = np.frombuffer(one["ids"], np.int64)
             flat = queries["vec"].combine_chunks().flatten().to_numpy().reshape(-1, one["dim"])
+            scaled, asked = comparable(vectors, flat)
             for part in np.array_split(np.arange(len(flat)), -(-len(flat) // BATCH)):
-                found, _ = beam_search(vectors.astype(np.float32), graph, one["entry"], flat[part].astype(np.float32), max(SEARCH_BEAM, 2 * k))
+                found, _ = beam_search(scaled, graph, one["entry"], asked[part], max(SEARCH_BEAM, 2 * k))
                 exact = np.sqrt(squares(vectors, np.maximum(found, 0), flat[part]))
                 exact[found < 0] = np.inf
                 nearest = np.lexsort((ids[np.maximum(found, 0)], exact), axis=1)[:, : k + 1]

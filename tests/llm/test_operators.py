@@ -579,6 +579,33 @@ def test_hot_ids_and_equal_rows_still_meet_the_targets(spark, monkeypatch, kind)
     assert Counter(map(tuple, again)) == Counter(map(tuple, got))
 
 
+@pytest.mark.parametrize("scales", [(1e20,), (1e-25,), (1e150, 1e150), (1.0, 1e20, 1e-20)])
+def test_neighbours_of_any_magnitude_equal_brute_force(spark, scales):
+    rng = np.random.default_rng(3)
+    vectors = [rng.normal(size=8) * scales[i % len(scales)] for i in range(300)]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    got = neighbours.search(frame, frame.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()
+    assert len(got) == 30
+    right = 0
+    for q in (0, 100, 200):
+        exact = sorted((math.sqrt(float(((vectors[q] - v) ** 2).sum())), i) for i, v in enumerate(vectors) if i != q)[:10]
+        own = [r for r in got if r["query_id"] == q]
+        assert all(r["score"] == pytest.approx(math.sqrt(float(((vectors[q] - vectors[r["vec_id"]]) ** 2).sum()))) for r in own)
+        right += len({r["vec_id"] for r in own} & {i for _, i in exact})
+    assert right >= 27
+
+
+def test_names_inside_the_article_are_no_veto():
+    page = (
+        "<nav class=menu>Home</nav><article><h2 id='related-work'>Related work</h2><p>Kept.</p><section id='social-impact'><p>Impact.</p></section>"
+        "<p class='form-of-government'>A republic.</p><div class='comment-list'><p>First!</p></div><div class='ad'>Buy</div>"
+        "<div id=comments><p>Nice.</p></div><h2 id=comments>Comments on the text</h2><p>Last.</p></article><footer>End</footer>"
+    )
+    assert html_text.main_text(page) == "Related work Kept. Impact. A republic. Comments on the text Last."
+    prose = "It was the best of times and it was the worst of times for all of us in the town. " * 3
+    assert html_text.main_text(f"<p>one</p><!--><p>{prose}</p><!---><p>{prose}</p><!-- x --!><p>{prose}</p>").count("best") == 9
+
+
 def test_mixing_of_odd_rows(spark):
     frame = docs_of(spark, [(i, t, None, None) for i, t in ODD])
     assert mixing.mix(frame).count() == len(ODD)

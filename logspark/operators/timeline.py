@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logspark.functions.joins import small_enough
 from logspark.operators.decode import known_time, repair_json
+from logspark.session import scratch_path
 
 RANGE_LINES = 1_000_000
 
@@ -121,6 +122,39 @@ def seek(lines: DataFrame, files: DataFrame, begin: Column, end: Column) -> Data
     )
 
 
+ZONE_COLUMNS = "path STRING, zone STRING, min_ts TIMESTAMP, max_ts TIMESTAMP, first BIGINT"
+ZONE_LINES = "path STRING, offset BIGINT, ts TIMESTAMP, zone STRING"
+
+
+def write_zones(timed: DataFrame, folder: str, zone_lines: int = RANGE_LINES) -> None:
+    """Keep the times of lines (path, offset, ts) by zones of so many lines of a file, with the span of each zone.
+
+    Lines that could not be read and lines without a time are left out; they start and end nothing.
+    """
+    known = timed.filter("_error IS NULL") if "_error" in timed.columns else timed
+    zone = F.concat_ws("-", F.hex(F.xxhash64("path")), F.expr(f"offset div {zone_lines}").cast("string"))
+    lines = known.filter(F.col("ts").isNotNull()).select("path", "offset", "ts", zone.alias("zone"))
+    lines.repartition("zone").sortWithinPartitions("zone", "offset").write.partitionBy("zone").parquet(f"{folder}/lines")
+    written = timed.sparkSession.read.schema(ZONE_LINES).parquet(f"{folder}/lines")
+    spans = written.groupBy("path", "zone").agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), F.min("offset").alias("first"))
+    spans.write.parquet(f"{folder}/zones")
+
+
+def seek_zones(folder: str, files: DataFrame, begin: Column, end: Column) -> DataFrame:
+    """``seek`` over what ``write_zones`` kept: only the zones in which a start or an end can lie are read.
+
+    These are, for each file, the first zone with a line after the beginning and the first with one after the end.
+    """
+    spark = files.sparkSession
+    zones = spark.read.schema(ZONE_COLUMNS).parquet(f"{folder}/zones")
+    reaching = lambda t: F.min(F.when(F.col("max_ts") > t, F.struct("first", "zone")))["zone"]
+    wanted = zones.groupBy("path").agg(F.array_distinct(F.array_compact(F.array(reaching(begin), reaching(end)))).alias("z"))
+    wanted = wanted.select(F.explode("z").alias("zone"))
+    lines = spark.read.schema(ZONE_LINES).parquet(f"{folder}/lines")
+    # a join with few zones: Spark reads the folders of those zones only
+    return seek(lines.join(small_enough(wanted), "zone"), files, begin, end)
+
+
 def timed_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Parse each line's known time, repairing broken escapes first.
 
@@ -136,10 +170,13 @@ def replay_gaps(timed: DataFrame, range_lines: int = RANGE_LINES) -> DataFrame:
 
     Lines are cut into ranges of line numbers. A window handles each range; the last time of each
     range, one row per range, is handed to the range after it. A line without time has a null gap,
-    and so does the line after it.
+    and so does the line after it. The readable lines are written once below the shared folder, as
+    they are gone through twice: their text is parsed once.
     """
     rows = timed.filter(F.col("_error").isNull()) if "_error" in timed.columns else timed
-    rows = rows.withColumn("__range", F.expr(f"offset div {range_lines}"))
+    held = scratch_path(timed.sparkSession, "timed")
+    rows.withColumn("__range", F.expr(f"offset div {range_lines}")).write.parquet(held)
+    rows = timed.sparkSession.read.parquet(held)
     w = Window.partitionBy("path", "__range").orderBy("offset")
     first = F.row_number().over(w) == 1
     rows = rows.withColumn("__prev", F.lag("ts").over(w)).withColumn("__first", first)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from logspark.fixed import SID_MAP_COLUMNS, TAGGER_HEADER
 from logspark.operators.inventory import latest_by
 from logspark.schemas import RECORD_COLUMNS
+from logspark.sinks.outputs import batch_folder
 
 
 def asset_json(records: DataFrame) -> DataFrame:
@@ -77,17 +78,23 @@ def inventory_facts(facts: DataFrame) -> DataFrame:
     return usable.withColumn("pythonversion", version).withColumn("year", F.year("updated"))
 
 
-def dual_write(facts: DataFrame, history_path: str, latest_path: str, previous: DataFrame | None = None) -> None:
+def dual_write(
+    facts: DataFrame, history_path: str, latest_path: str, previous: DataFrame | None = None, run: int | None = None
+) -> None:
     """Append usable facts to the yearly history and write the newest row per machine.
 
+    ``run`` numbers the run: its rows lie in a folder of their own, and a second try of the run replaces them and its
+    ``latest_path``. Without it rows are appended, and a second try would add them again.
+
     ``latest_path`` must be a new folder. ``previous`` is the view of the run before: the new facts are merged into
     it, so the history is not read, and machines that sent nothing stay. Without it the view is taken over the whole
     history, as the first run and a repair need.
     """
     rows = inventory_facts(facts)
-    rows.write.mode("append").partitionBy("year").parquet(history_path)
+    folder, mode = batch_folder(history_path, run)
+    rows.write.mode(mode).partitionBy("year").parquet(folder)
     if previous is None:
         known = facts.sparkSession.read.schema(rows.schema).parquet(history_path)
     else:
         known = previous.select(*rows.columns).unionByName(rows)
-    latest_by(known, "fqdn", "updated").write.mode("errorifexists").parquet(latest_path)
+    latest_by(known, "fqdn", "updated").write.mode("errorifexists" if run is None else "overwrite").parquet(latest_path)

@@ -115,6 +115,37 @@ def d9(spark, sf):
     return a.select("seq", F.col("Host").alias("host"), F.col("Alias").alias("alias"), F.col("Zone").alias("zone"), F.col("VM").alias("vm"), "is_asset")
 
 
+@query("d9_raw_asset", R + "SELECT s, host_name AS host, pretty AS alias, addr AS ip, network_name AS zone, domain, ansible_name AS vm, true AS is_asset FROM rec WHERE seq < 1000000000")
+def d9_raw(spark, sf):
+    """Plain asset rows; their addresses become canonical."""
+    r = render.records(spark, sf).filter("seq < 1000000000")
+    raw = r.select(
+        F.col("host_name").alias("hostname"), "pretty", "role", "os", F.concat(F.lit("::ffff:"), "addr").alias("ip"),
+        F.col("network_name").alias("zone"), "team", "domain", F.col("ansible_name").alias("vm"),
+    )
+    a = inv.raw_to_asset(raw)
+    s = F.regexp_extract("Host", r"(\d+)$", 1).cast("bigint").alias("s")
+    return a.select(s, F.col("Host").alias("host"), F.col("Alias").alias("alias"), F.col("IP").alias("ip"), F.col("Zone").alias("zone"),
+                    F.col("Domain").alias("domain"), F.col("VM").alias("vm"), "is_asset")
+
+
+@query("d6_counts", R + "SELECT (SELECT count(*) FROM rec) AS pickups, (SELECT count(*) FROM idx) AS updates")
+def d6_counts(spark, sf):
+    records = render.records(spark, sf)
+    return inv.index_counts(records, inv.asset_index(records))
+
+
+@query("d4_counts", "SELECT CAST(sum(CASE WHEN s_suppkey%4=0 THEN 1 ELSE 0 END) AS BIGINT) AS hits, CAST(sum(CASE WHEN s_suppkey%4<>0 THEN 1 ELSE 0 END) AS BIGINT) AS misses FROM supplier")
+def d4_counts(spark, sf):
+    s = F.col("s_suppkey")
+    names = render.table(spark, sf, "supplier").select(F.concat(F.lit("name-"), text(s)).alias("vm"), s)
+    seen = F.timestamp_seconds(F.lit(1600000000))
+    prior = names.filter(s % 4 == 0).select(F.col("vm").alias("name"), F.concat(F.lit("pool-"), text(s * 4)).alias("rename"),
+                                            seen.alias("first_seen"), seen.alias("last_seen"))
+    pool = render.table(spark, sf, "part").select(F.concat(F.lit("pool-"), text(F.col("p_partkey"))).alias("name"))
+    return ps.name_counts(ps.pseudonymize(names, "vm", pool, prior, now=now_at())[0])
+
+
 @query("d10_merge_assets", R + f""", {VC}, known AS (SELECT *, ltrim(ansible_name, 'vm_') AS lookup FROM rec QUALIFY row_number() OVER (PARTITION BY ansible_name ORDER BY updated DESC)=1)
     SELECT addr AS key, host_name, addr, team, updated, 'inventory' AS origin FROM rec
     UNION ALL SELECT ip, host_name, ip, team, ts, 'vcenter' FROM lk JOIN known USING (lookup) WHERE ip IS NOT NULL""")

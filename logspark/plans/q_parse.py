@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logspark.functions.dynamic import dot_text, parse_object
+from logspark.functions.dynamic import dot_field, dot_text, parse_object
 from logspark.functions.ip import canon_ip, cidr_address
 from logspark.functions.times import offset_text, rfc3339_text
 from logspark.operators import audit, cef, decode as dec, fields, normalize, reformat as ref, syslog
 from logspark.plans import render
 from logspark.plans.catalog import (
-    EV, EVE_ALERT, FACILITY_SQL, PRI, SEVERITY_SQL, query,
+    EV,
+    EVE_ALERT,
+    EVE_TECH,
+    FACILITY_SQL,
+    PRI,
+    SEVERITY_SQL,
+    TECH_ID,
+    query,
 )
 from logspark.plans.render import text
 from logspark.sources.topics import parse_topic_map, with_kind
@@ -266,6 +273,23 @@ def n10(spark, sf):
     )
 
 
+@query(
+    "n10_dot_value",
+    EV + f"""SELECT event_id, CASE WHEN {EVE_ALERT} THEN CAST(2000+k AS BIGINT) END AS sid, CASE WHEN {EVE_TECH} THEN 'ARRAY<STRING>' END AS kind_of,
+      CASE WHEN {EVE_TECH} THEN '["'||{TECH_ID}||'"]' END AS ids, CASE WHEN kind='suricata' THEN host END AS under FROM ev""",
+)
+def n10_value(spark, sf):
+    """The value itself, with its type: a number, an array, and what stands where a path goes on below a text."""
+    rows = render.json_events(spark, sf).withColumn("v", parse_object("value"))
+    ids = dot_field("v", "alert.metadata.mitre_technique_id")
+    listed = F.schema_of_variant(ids).startswith("ARRAY")
+    return rows.select(
+        F.col("offset").alias("event_id"), F.try_variant_get(dot_field("v", "alert.signature_id"), "$", "bigint").alias("sid"),
+        F.when(listed, F.schema_of_variant(ids)).alias("kind_of"), F.when(listed, F.to_json(ids)).alias("ids"),
+        F.try_variant_get(dot_field("v", "host.name"), "$", "string").alias("under"),
+    )
+
+
 @query(
     "n11_decode",
     EV + """SELECT kind, count(*) AS events, CAST(sum(CASE WHEN k%10=9 THEN 1 ELSE 0 END) AS BIGINT) AS errors,
@@ -342,6 +366,15 @@ def n13_honeypot(spark, sf):
     )
 
 
+@query(
+    "n13_cef_origin",
+    EV + "SELECT event_id, 'Product' AS source, 'Vendor' AS sender FROM ev WHERE kind='syslog' AND k%20=13",
+)
+def n13_cef(spark, sf):
+    c = cef.parse_cef(syslog.parse_rfc5424(_lines(spark, sf, "syslog")).drop("_error")).filter(F.col("_error").isNull())
+    return c.select(F.col("offset").alias("event_id"), fields.cef_source().alias("source"), fields.cef_sender().alias("sender"))
+
+
 @query(
     "n14_select",
     EV + f"""SELECT event_id, CASE WHEN kind IN ('syslog','snoopy','suricata') THEN host END AS host,

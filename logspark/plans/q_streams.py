@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logspark.operators.enrich import technique_lookup
 from logspark.operators.inventory import asset_index
-from logspark.sinks.outputs import MISSING_SIDS_KEY
+from logspark.sinks.outputs import MISSING_SIDS_KEY, append_queue, archive, write_files
 from logspark.operators.indicators import validate_iocs
 from logspark.operators.normalize import preprocess
 from logspark.plans import render
@@ -28,6 +28,7 @@ from logspark.streaming.jobs import (
     start_sid_map,
 )
 from logspark.streaming.registry import Registry, first_wins
+from logspark.streaming.sinks import FACT_STATE, read_finished, start_sinks, write_facts
 from logspark.streaming.views import Views, start_views
 
 COLUMNS = [part.split()[0] for part in ENVELOPE.split(", ")]
@@ -253,3 +254,52 @@ def stream_aliases(spark, sf):
         F.count(F.lit(1)).alias("names"), F.countDistinct("rename").alias("aliases"),
         F.count_if(F.col("old") != F.col("rename")).alias("moved"), F.max(F.unix_seconds("last_seen")).alias("last"),
     ).select("names", "aliases", outside.alias("outside"), "moved", "last")
+
+
+@query("stream_sinks", EV + """SELECT 'archive' AS part, 'raw-'||kind AS name, event_id FROM ev UNION ALL SELECT 'all', '', event_id FROM ev
+    UNION ALL SELECT 'kind', kind, event_id FROM ev UNION ALL SELECT 'queue', '', event_id FROM ev WHERE kind='sysmon'""")
+def stream_sinks(spark, sf):
+    """One stream into an archive, files per kind and a queue; each event is in each of them once."""
+    work = render.scratch_path(spark, "sinks")
+    events = render.json_events(spark, sf).withColumn("value", text(F.col("offset")))
+    writes = [
+        lambda rows, n: archive(rows, f"{work}/archive", now=F.timestamp_seconds(F.lit(1704153600)), batch_id=n),
+        lambda rows, n: write_files(_with_kind(rows), f"{work}/all", f"{work}/kinds", batch_id=n),
+        lambda rows, n: append_queue(_with_kind(rows).filter("kind = 'sysmon'"), f"{work}/queue", n),
+    ]
+    parts = [events.filter(F.col("offset") % 3 == i) for i in range(3)]
+    _in_batches(spark, parts, lambda s: start_sinks(s, writes, f"{work}/checkpoint", once=True), f"{work}/checkpoint")
+    shown = [
+        ("archive", "source", read_finished(spark, f"{work}/archive", "text", "value STRING, source STRING, bucket STRING")),
+        ("all", None, read_finished(spark, f"{work}/all", "text", "value STRING")),
+        ("kind", "kind", read_finished(spark, f"{work}/kinds", "text", "value STRING, kind STRING")),
+        ("queue", None, read_finished(spark, f"{work}/queue", "parquet", "value STRING")),
+    ]
+    out = None
+    for part, name, rows in shown:
+        own = rows.select(F.lit(part).alias("part"), (F.col(name) if name else F.lit("")).alias("name"), F.col("value").cast("bigint").alias("event_id"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def _with_kind(rows):
+    return rows.withColumn("kind", F.substr("topic", F.lit(5)))
+
+
+@query("stream_facts", """WITH f AS (SELECT 'm'||(c_custkey%200) AS fqdn, '3.'||(c_custkey%12)||'.1' AS version, c_custkey AS seen FROM customer WHERE c_custkey%9<>0)
+    SELECT 'history' AS kind, fqdn, version, CAST(seen AS BIGINT) AS seen FROM f UNION ALL SELECT 'latest', fqdn, version, CAST(seen AS BIGINT) FROM f QUALIFY row_number() OVER (PARTITION BY fqdn ORDER BY seen DESC)=1""")
+def stream_facts(spark, sf):
+    """Machine facts into the history and the latest view by batches, the second one twice."""
+    work = render.scratch_path(spark, "facts")
+    latest = Registry(spark, f"{work}/latest", FACT_STATE)
+    c = F.col("c_custkey")
+    version = F.when(c % 9 != 0, F.array(F.lit(3).cast("bigint"), c % 12, F.lit(1).cast("bigint")))
+    facts = render.table(spark, sf, "customer").select(
+        F.concat(F.lit("m"), text(c % 200)).alias("fqdn"), version.alias("pythonversion"), F.timestamp_seconds(c).alias("updated"), c.alias("n"))
+    write = write_facts(f"{work}/history", latest)
+    for batch in (0, 1, 1, 2):
+        write(facts.filter(F.col("n") % 3 == batch).drop("n"), batch)
+    history = read_finished(spark, f"{work}/history", "parquet", "fqdn STRING, pythonversion STRING, updated TIMESTAMP, year INT")
+    shape = lambda df, kind: df.select(
+        F.lit(kind).alias("kind"), "fqdn", F.col("pythonversion").alias("version"), F.unix_seconds("updated").alias("seen"))
+    return shape(history, "history").unionByName(shape(latest.read(), "latest"))

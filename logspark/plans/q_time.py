@@ -84,6 +84,14 @@ def t6(spark, sf):
     return _seek(spark, sf)[1].withColumnRenamed("end", "end_no")
 
 
+@query("t6_seek_zones", SEEK + "SELECT CAST(path AS VARCHAR) AS path, partial, CASE WHEN partial IN ('tail','middle') THEN coalesce(s, 0) ELSE 0 END AS beginning, CASE WHEN partial IN ('head','middle') THEN coalesce(e, lines) ELSE lines END AS end_no FROM p")
+def t6_zones(spark, sf):
+    """The same from zones of fifty lines, of which at most two a file are read."""
+    folder = render.scratch_path(spark, "zones")
+    tl.write_zones(tl.timed_lines(render.time_lines(spark, sf)), folder, 50)
+    return tl.seek_zones(folder, render.file_table(spark, sf), *period()).withColumnRenamed("end", "end_no")
+
+
 GAPS = EV + f"""SELECT event_id, CASE WHEN row_number() OVER w = 1 THEN 0 ELSE epoch_us(t) - epoch_us(lag(t) OVER w) END AS gap_us
     FROM (SELECT *, CASE WHEN k%13<>0 THEN ts END AS t FROM ev WHERE k%25<>24) WINDOW w AS (PARTITION BY event_id//{N} ORDER BY event_id)"""
 

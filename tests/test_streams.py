@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from logspark.session import scratch_path
 from logspark.streaming.allocate import ALIAS_STATE, INDICATOR_STATE, NEXT, assign_aliases, ranked_pool, register_indicators
 from logspark.streaming.registry import Registry, first_wins, last_wins, retractable
+from logspark.operators.timeline import seek, seek_zones, write_zones
+from logspark.sinks.outputs import append_queue
+from logspark.streaming.sinks import finished_batches, read_finished
 from logspark.streaming.views import Views
 
 STATE = "key string, v bigint"
@@ -126,3 +129,40 @@ def test_views_are_published_together_and_only_when_they_change(spark):
     views.parts["missing"].update(row('[{"sid":1,"msg":"a"}]', 2), 1, last_wins("name", "seq"))
     views.publish(1)
     assert views.published() == {"missing": (1, 1)}
+
+
+def test_a_half_written_batch_is_not_read_until_it_is_done(spark):
+    path = scratch_path(spark, "queue")
+    assert finished_batches(spark, path) == []
+    rows = spark.createDataFrame([("a",), ("b",)], "value string")
+    for batch in (10, 9):
+        append_queue(rows, path, batch)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    mark = hadoop.Path(f"{path}/batch=10/_SUCCESS")
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).delete(mark, False)  # as if the job had died before its end
+    assert [f.rsplit("=", 1)[1] for f in finished_batches(spark, path)] == ["9"]
+    assert read_finished(spark, path, "parquet", "value string").count() == 2
+    append_queue(rows, path, 10)
+    assert [f.rsplit("=", 1)[1] for f in finished_batches(spark, path)] == ["9", "10"]
+
+
+def test_seek_reads_few_zones(spark):
+    lines = spark.range(20_000).select(
+        F.concat(F.lit("f"), F.expr("id div 5000")).alias("path"), (F.col("id") % 5000).alias("offset"), F.timestamp_seconds("id").alias("ts")
+    )
+    folder = scratch_path(spark, "zones")
+    write_zones(lines, folder, 100)
+    files = lines.groupBy("path").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("lines"))
+    begin, end = (F.timestamp_seconds(F.lit(n)) for n in (6_250, 12_777))
+    found = seek_zones(folder, files, begin, end)
+    assert sorted(found.collect()) == sorted(seek(lines, files, begin, end).collect())
+    nodes = [found._jdf.queryExecution().executedPlan()]
+    read = 0
+    while nodes:
+        node = nodes.pop()
+        children = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else []
+        nodes += children or [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName().startswith("Scan parquet") and "offset" in node.toString():
+            read += node.metrics().apply("numOutputRows").value()
+    # four files of fifty zones: one or two zones of each
+    assert 0 < read <= 800

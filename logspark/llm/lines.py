@@ -45,6 +45,35 @@ def patience(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return pairs
 
 
+def leftovers(a: np.ndarray, b: np.ndarray, anchor: np.ndarray, done: np.ndarray) -> None:
+    """Mark in ``done`` the lines of ``b`` that an alignment has left out though they stand in ``a`` in the same run.
+
+    A block that has changed places, and one that ``a`` holds more than once, is no part of the alignment. Each anchor
+    line left takes the place in ``a`` from which most lines agree, those before it included.
+    """
+    left = np.flatnonzero(~done & anchor)
+    left = left[np.isin(b[left], a)]
+    if not len(left):
+        return
+    order = np.argsort(a, kind="stable")
+    ordered = a[order]
+    for j in left.tolist():
+        if done[j]:
+            continue
+        spots = order[np.searchsorted(ordered, b[j], "left") : np.searchsorted(ordered, b[j], "right")]
+        n = 1
+        while j + n < len(b):
+            longer = spots[spots + n < len(a)]
+            longer = longer[a[longer + n] == b[j + n]]
+            if not len(longer):
+                break
+            spots, n = longer, n + 1
+        i, before = int(spots[0]), 0
+        while before < min(i, j) and a[i - before - 1] == b[j - before - 1]:
+            before += 1
+        done[j - before : j + n] = True
+
+
 def single(lines: np.ndarray, start: int, stop: int) -> dict[int, int]:
     """Lines that occur once in the range, and where; in order."""
     found: dict[int, int] = {}
@@ -89,13 +118,18 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def overlaps(lines: DataFrame) -> DataFrame:
-    """(later, first): each document with the first document of every anchor line that it shares.
+    """(later, first): each document with the first document of every anchor line that it shares, and of every two
+    anchor lines that follow each other in both.
 
-    One pair a line at most, however many documents share it, so pairs grow with the lines alone; every shared line is
-    in some pair of its document, so no overlap is lost.
+    At most two pairs a line, however many documents share it, so pairs grow with the lines alone. Every shared line is
+    in some pair of its document; the second kind finds the document that has a block whole where its lines first came
+    in several.
     """
-    anchors = lines.select("key", F.inline(F.arrays_zip("hashes", "words"))).where(F.col("words") >= ANCHOR_WORDS)
-    anchors = anchors.select("key", F.col("hashes").alias("h"))
+    known = F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] >= ANCHOR_WORDS)
+    lone = F.transform(known, lambda x: x["hashes"])
+    both = F.transform("lone", lambda x, i: F.when(i > 0, F.xxhash64(x, F.get("lone", i - 1))))
+    anchors = lines.select("key", lone.alias("lone"))
+    anchors = anchors.select("key", F.explode(F.concat("lone", F.array_compact(both))).alias("h"))
     first = anchors.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last")
     pairs = anchors.join(first.select("h", "first"), "h").where("first <> key")
     return pairs.select(F.col("key").alias("later"), "first").distinct()
@@ -103,16 +137,19 @@ def overlaps(lines: DataFrame) -> DataFrame:
 
 def covered(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """(later, spots): the line numbers of a document that are aligned with an earlier one."""
-    ours = lines.select(F.col("key").alias("later"), F.col("hashes").alias("b"))
+    ours = lines.select(F.col("key").alias("later"), F.col("hashes").alias("b"), F.col("words").alias("n"))
     theirs = lines.select(F.col("key").alias("first"), F.col("hashes").alias("a"))
-    both = pairs.join(ours, "later").join(theirs, "first").select("later", "a", "b")
+    both = pairs.join(ours, "later").join(theirs, "first").select("later", "a", "b", "n")
 
     def align(batches):
         for batch in batches:
             spots = []
-            for a, b in zip(batch["a"], batch["b"]):
-                found = patience(a.values.to_numpy(), b.values.to_numpy())
-                spots.append(sorted(j for _, j in found))
+            for a, b, n in zip(batch["a"], batch["b"], batch["n"]):
+                a, b = a.values.to_numpy(), b.values.to_numpy()
+                done = np.zeros(len(b), bool)
+                done[[j for _, j in patience(a, b)]] = True
+                leftovers(a, b, n.values.to_numpy() >= ANCHOR_WORDS, done)
+                spots.append(np.flatnonzero(done).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch["later"], pa.array(spots, pa.list_(pa.int32()))], ["later", "spots"])
 
     aligned = both.mapInArrow(align, f"later {lines.schema['key'].dataType.simpleString()}, spots array<int>")
@@ -161,6 +198,9 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__mark")), "left"
     )
     split = F.split(text_col, "\n")
-    left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("__deleted", i)), "\n")
+    # the numbers of the lines that stay, by one look at each, however many go
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__deleted"))
+    marked = marked.withColumn("__lines", F.when(F.col("__deleted").isNotNull(), split))
+    left = F.array_join(F.transform(stay, lambda i: F.get("__lines", i)), "\n")
     left = F.when(F.col("__deleted").isNull(), F.col(text_col)).otherwise(left).alias("__left")
     return marked.select(*docs.columns, "__deleted", left).toDF(*old, "__deleted", "__left")

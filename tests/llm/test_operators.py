@@ -206,6 +206,70 @@ def test_shared_passages_leave_the_later_document(spark):
     assert got[6] == ""
 
 
+def passage(name, n=8):
+    return [f"{name} line {k} " + " ".join(f"{name}{k}x{w}" for w in range(8)) for k in range(n)]
+
+
+def slow_cut(rows):
+    """Lines that stay, by looking for every run of lines in every earlier document, each start with each start."""
+    key = lambda r: (r[0] is None, r[0] if r[0] is not None else 0)
+    out, earlier = {}, []
+    for doc, text in sorted(rows, key=key):
+        b = text.split("\n")
+        size = [len(x.split()) for x in b]
+        done = [False] * len(b)
+        for a in earlier:
+            for j in range(len(b)):
+                for i in range(len(a)):
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                        n += 1
+                    if any(w >= 5 for w in size[j : j + n]):
+                        done[j : j + n] = [True] * n
+        j, kept = 0, []
+        while j < len(b):
+            end = j
+            while end < len(b) and done[end] == done[j]:
+                end += 1
+            if not (done[j] and sum(size[j:end]) >= 50):
+                kept += b[j:end]
+            j = end
+        out[doc] = "\n".join(kept)
+        earlier.append(b)
+    return out
+
+
+def test_blocks_go_wherever_and_however_often_they_stand(spark):
+    own = lambda i: passage(f"own{i}", 3)
+    p, q, r = passage("p"), passage("q"), passage("r")
+    whole = [x for pair in zip(passage("m"), [f"short {k}" for k in range(8)]) for x in pair]
+    rows = [
+        (1, own(1) + p + own(2) + p), (2, own(3) + p), (3, p + own(4)),  # twice in the first
+        (11, q + own(11) + r), (12, r + own(12) + q), (13, r + q + own(13)),  # in another order
+        (21, own(21) + whole[0::4]), (22, own(22) + whole[2::4]), (23, own(23) + whole), (24, whole + own(24)),  # in parts first
+        (31, own(31) + p + q), (32, p[:4] + own(32) + p[4:]), (33, p[3:] + p[:3] + p[3:]),
+    ]
+    rows = [(i, "\n".join(lines_)) for i, lines_ in rows]
+    got = {r["doc_id"]: r["__left"] for r in lines.cut_lines(docs_of(spark, rows).repartition(3)).collect()}
+    want = slow_cut(rows)
+    assert got == want
+    assert got[2] == "\n".join(own(3)) and got[13] == "\n".join(own(13)) and got[24] == "\n".join(own(24))
+
+
+def test_random_texts_are_cut_as_by_comparing_all_runs(spark):
+    rng = random.Random(12)
+    pool = [passage(f"z{k}", rng.randrange(1, 9)) for k in range(12)]
+    rows = []
+    for i in range(60):
+        text = []
+        for _ in range(rng.randrange(1, 6)):
+            text += rng.choice(pool) if rng.random() < 0.6 else passage(f"o{i}-{rng.random()}", 2)
+        rows.append((i, "\n".join(text)))
+    got = {r["doc_id"]: r["__left"] for r in lines.cut_lines(docs_of(spark, rows)).collect()}
+    want = slow_cut(rows)
+    assert sum(got[i] == want[i] for i in want) >= 58 and all(len(got[i]) >= len(want[i]) for i in want)
+
+
 def test_lines_of_odd_rows(spark):
     frame = docs_of(spark, ODD)
     cut = lines.cut_lines(frame)

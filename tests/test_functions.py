@@ -75,6 +75,7 @@ def test_global_rank_is_dense_and_ordered(spark):
     assert [r["rank"] for r in ranked] == list(range(1000))
 
 
+# Pairs of intervals and whether the second one overlaps the first.
 INTERVALS = [
     ("2019-07-19 06:01:43", "2019-07-19 07:01:43", False),
     ("2019-07-19 07:01:43", "2019-07-19 08:01:43", True),

@@ -80,8 +80,7 @@ def test_crowded_bands_lose_no_link(spark, copies):
     assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == want
 
 
-def test_centres_are_taken_in_turns_until_few_are_left(spark, monkeypatch):
+def test_members_outside_the_largest_group_meet_by_rare_shingles(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "SMALL_BUCKET", 2)
-    monkeypatch.setattr(near_copies, "LINEAR", 0)
     texts = [words_of(s, 120, 5000).rsplit(" ", k)[0] for s in range(4) for k in range(1, 8)]
     assert sorted(r["doc_id"] for r in near_copies.keep_one(docs_of(spark, list(enumerate(texts)))).collect()) == first_of_groups(texts)

@@ -1,9 +1,11 @@
 """Dimension lookups whose physical form depends on a measured size.
 
 A dimension is broadcast only after its bytes were summed and found below a limit.
-Above it the lookup is a shuffle join: both sides are salted, so that a key held by a
-large share of the rows is spread over many tasks, and AQE may split further. Rows whose
-key is null never match, so they get salts of their own over a much wider range.
+Above it the lookup is a shuffle join, asked for by a hint: Spark's own estimate of a
+dimension made from small files may be far too low, and would broadcast it. Both sides are
+salted, so that a key held by a large share of the rows is spread over some tasks; AQE splits
+what is still too big. Rows whose key is null never match, so they get salts of their own over
+a much wider range.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
+# each salt is one more copy of the dimension that a lookup shuffles
+KEY_SALTS = 4
 NULL_SALTS = 1 << 20
 
 
@@ -54,11 +58,12 @@ def attach(events: DataFrame, lookup: Lookup, on: Column, out: str, spread: list
         return joined.drop("__probe", "__key")
     mixed = F.xxhash64(*spread)
     salt = F.when(F.col("__probe").isNull(), F.pmod(mixed, F.lit(NULL_SALTS))).otherwise(
-        F.pmod(mixed, F.lit(SALTS))
+        F.pmod(mixed, F.lit(KEY_SALTS))
     )
     probe = probe.withColumn("__salt", salt)
-    dim = dim.withColumn("__dsalt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    dim = dim.withColumn("__dsalt", F.explode(F.expr(f"sequence(0L, {KEY_SALTS - 1}L)")))
+    # keys are unique, so a task's share of the dimension stays small; the events need no sort
     joined = probe.join(
-        dim, (F.col("__probe") == F.col("__key")) & (F.col("__salt") == F.col("__dsalt")), "left"
+        dim.hint("shuffle_hash"), (F.col("__probe") == F.col("__key")) & (F.col("__salt") == F.col("__dsalt")), "left"
     )
     return joined.drop("__probe", "__key", "__salt", "__dsalt")

@@ -69,6 +69,14 @@ def test_shuffled_lookup_equals_broadcast_on_a_hot_key(spark):
     assert rows[0] == rows[1] and len(rows[0]) == 3000
 
 
+def test_shuffled_lookup_is_never_broadcast_by_an_estimate(spark):
+    # a few rows, which Spark would broadcast by itself
+    dim = spark.range(3).select(F.col("id").cast("string").alias("key"), "id")
+    events = spark.range(10).select("id", F.col("id").cast("string").alias("k"))
+    plan = attach(events, Lookup(dim, "key", False), F.col("k"), "hit", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_global_rank_is_dense_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1009).alias("n"))
     ranked = global_rank(df, F.expr("n div 100"), [F.col("n")], "rank").orderBy("n").collect()

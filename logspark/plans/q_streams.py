@@ -103,12 +103,13 @@ def stream_preprocess(spark, sf):
 def _in_batches(spark, parts, start, checkpoint):
     """Feed each part as a micro-batch of its own to ``start(stream)``, which drains what is there.
 
+    A part is as many files as it has tasks; without a limit on files all that is there makes one batch.
     The commit of the second batch is lost, as in a crash just before it: the next start runs this batch again.
     """
     source = render.scratch_path(spark, "in")
     for i, part in enumerate(parts):
-        part.select(*COLUMNS).coalesce(1).write.mode("append").parquet(source)
-        start(read_events(spark, source, "earliest", options={"maxFilesPerTrigger": "1000"})).awaitTermination()
+        part.select(*COLUMNS).write.mode("append").parquet(source)
+        start(read_events(spark, source, "earliest")).awaitTermination()
         if i == 1:
             commit = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/1")
             files = commit.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -166,3 +166,22 @@ def test_seek_reads_few_zones(spark):
             read += node.metrics().apply("numOutputRows").value()
     # four files of fifty zones: one or two zones of each
     assert 0 < read <= 800
+
+
+def test_a_part_of_a_stream_is_written_by_all_its_tasks(spark):
+    from logspark.plans.q_streams import _in_batches
+    from logspark.streaming.jobs import run_batches
+
+    n = F.col("id")
+    rows = spark.range(0, 40, 1, 4).select(
+        n.cast("string").alias("value"), F.lit("k").alias("key"), F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+        n.alias("offset"), F.timestamp_seconds(n).alias("timestamp"),
+    )
+    seen, checkpoint = [], scratch_path(spark, "checkpoint")
+
+    def each(batch, batch_id):
+        seen.append((batch_id, batch.count(), batch.select(F.spark_partition_id()).distinct().count() > 1))
+
+    _in_batches(spark, [rows, rows, rows], lambda s: run_batches(s, each, checkpoint, once=True), checkpoint)
+    # the second batch runs again, each part is one batch, read by several tasks
+    assert seen == [(0, 40, True), (1, 40, True), (1, 40, True), (2, 40, True)]

@@ -123,36 +123,44 @@ def seek(lines: DataFrame, files: DataFrame, begin: Column, end: Column) -> Data
 
 
 ZONE_COLUMNS = "path STRING, zone STRING, min_ts TIMESTAMP, max_ts TIMESTAMP, first BIGINT"
-ZONE_LINES = "path STRING, offset BIGINT, ts TIMESTAMP, zone STRING"
+ZONE_LINES = "path STRING, offset BIGINT, ts TIMESTAMP, zone STRING, slot INT"
+# zones lie in at most so many folders, of one file each
+ZONE_SLOTS = 1024
+
+
+def zone_slot() -> Column:
+    return F.pmod(F.xxhash64("zone"), F.lit(ZONE_SLOTS)).cast("int").alias("slot")
 
 
 def write_zones(timed: DataFrame, folder: str, zone_lines: int = RANGE_LINES) -> None:
     """Keep the times of lines (path, offset, ts) by zones of so many lines of a file, with the span of each zone.
 
-    Lines that could not be read and lines without a time are left out; they start and end nothing.
+    Lines that could not be read and lines without a time are left out; they start and end nothing. Zones are dealt to a
+    fixed number of folders: many short files have many small zones, and a folder for each would cost more than its lines.
     """
     known = timed.filter("_error IS NULL") if "_error" in timed.columns else timed
     zone = F.concat_ws("-", F.hex(F.xxhash64("path")), F.expr(f"offset div {zone_lines}").cast("string"))
     lines = known.filter(F.col("ts").isNotNull()).select("path", "offset", "ts", zone.alias("zone"))
-    lines.repartition("zone").sortWithinPartitions("zone", "offset").write.partitionBy("zone").parquet(f"{folder}/lines")
+    lines = lines.select("*", zone_slot())
+    lines.repartition("slot").sortWithinPartitions("slot", "zone", "offset").write.partitionBy("slot").parquet(f"{folder}/lines")
     written = timed.sparkSession.read.schema(ZONE_LINES).parquet(f"{folder}/lines")
     spans = written.groupBy("path", "zone").agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), F.min("offset").alias("first"))
     spans.write.parquet(f"{folder}/zones")
 
 
 def seek_zones(folder: str, files: DataFrame, begin: Column, end: Column) -> DataFrame:
-    """``seek`` over what ``write_zones`` kept: only the zones in which a start or an end can lie are read.
+    """``seek`` over what ``write_zones`` kept: only the folders of zones in which a start or an end can lie are read.
 
-    These are, for each file, the first zone with a line after the beginning and the first with one after the end.
+    These zones are, for each file, the first zone with a line after the beginning and the first with one after the end.
     """
     spark = files.sparkSession
     zones = spark.read.schema(ZONE_COLUMNS).parquet(f"{folder}/zones")
     reaching = lambda t: F.min(F.when(F.col("max_ts") > t, F.struct("first", "zone")))["zone"]
     wanted = zones.groupBy("path").agg(F.array_distinct(F.array_compact(F.array(reaching(begin), reaching(end)))).alias("z"))
-    wanted = wanted.select(F.explode("z").alias("zone"))
+    wanted = wanted.select(F.explode("z").alias("zone")).select("zone", zone_slot())
     lines = spark.read.schema(ZONE_LINES).parquet(f"{folder}/lines")
     # a join with few zones: Spark reads the folders of those zones only
-    return seek(lines.join(small_enough(wanted), "zone"), files, begin, end)
+    return seek(lines.join(small_enough(wanted), ["slot", "zone"]), files, begin, end)
 
 
 def timed_lines(lines: DataFrame, col: str = "value") -> DataFrame:

@@ -185,3 +185,20 @@ def test_a_part_of_a_stream_is_written_by_all_its_tasks(spark):
     _in_batches(spark, [rows, rows, rows], lambda s: run_batches(s, each, checkpoint, once=True), checkpoint)
     # the second batch runs again, each part is one batch, read by several tasks
     assert seen == [(0, 40, True), (1, 40, True), (1, 40, True), (2, 40, True)]
+
+
+def test_zones_of_many_files_lie_in_few_folders(spark, tmp_path, monkeypatch):
+    import os
+
+    from logspark.operators import timeline
+
+    monkeypatch.setattr(timeline, "ZONE_SLOTS", 16)
+    lines = spark.range(2000).select(
+        F.concat(F.lit("f"), F.expr("id div 10")).alias("path"), (F.col("id") % 10).alias("offset"), F.timestamp_seconds("id").alias("ts")
+    )
+    folder = str(tmp_path / "zones")
+    write_zones(lines, folder, 5)
+    assert sum(n.startswith(("zone=", "slot=")) for n in os.listdir(f"{folder}/lines")) <= 16  # of four hundred zones
+    files = lines.groupBy("path").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("lines"))
+    begin, end = (F.timestamp_seconds(F.lit(n)) for n in (153, 1_457))
+    assert sorted(seek_zones(folder, files, begin, end).collect()) == sorted(seek(lines, files, begin, end).collect())

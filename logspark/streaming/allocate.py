@@ -73,8 +73,10 @@ def assign_aliases(registry: Registry, pool: DataFrame, names: DataFrame, batch_
         fresh = fresh.join(in_use, "name", "left_anti")
         mixed = F.xxhash64("name")
         fresh = global_rank(fresh, F.pmod(mixed, F.lit(4096)), [mixed, F.col("name")], "number")
-        free = pool.filter(F.col("place") >= taken)
         known = registry.rows(registry.manifest(registry.number(batch_id))).select("name").unionByName(batch.select("name"))
+        # places are dense and each known name is at most one of them, so this many hold a free one for every new name
+        reach = taken + batch.count() + known.count()
+        free = pool.filter((F.col("place") >= taken) & (F.col("place") < reach))
         free = free.join(known.withColumnRenamed("name", "alias"), "alias", "left_anti")
         free = global_rank(free, F.expr(f"place div {BUCKET_ROWS}"), [F.col("place")], "number")
         pairs = fresh.join(free, "number", "left")

@@ -202,3 +202,26 @@ def test_zones_of_many_files_lie_in_few_folders(spark, tmp_path, monkeypatch):
     files = lines.groupBy("path").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("lines"))
     begin, end = (F.timestamp_seconds(F.lit(n)) for n in (153, 1_457))
     assert sorted(seek_zones(folder, files, begin, end).collect()) == sorted(seek(lines, files, begin, end).collect())
+
+
+def test_a_batch_ranks_only_the_places_that_it_may_need(spark, monkeypatch):
+    from logspark.streaming import allocate
+
+    path = scratch_path(spark, "pool")
+    # names of the first batch are aliases of the pool, so their places are passed over
+    ranked_pool(spark.range(5000).select(F.concat(F.lit("a"), "id").alias("name"))).write.parquet(path)
+    pool = spark.read.parquet(path)
+    ranked, sizes = allocate.global_rank, []
+
+    def counted(df, bucket, order, out):
+        sizes.append(df.count())
+        return ranked(df, bucket, order, out)
+
+    monkeypatch.setattr(allocate, "global_rank", counted)
+    registry = _registry(spark, ALIAS_STATE)
+    first = pool.filter("place < 40").select(F.col("alias").alias("name"), F.timestamp_seconds("place").alias("seen"))
+    new = spark.range(30).select(F.concat(F.lit("n"), "id").alias("name"), F.timestamp_seconds("id").alias("seen"))
+    assign_aliases(registry, pool, first, 0)
+    assign_aliases(registry, pool, new, 1)
+    assert max(sizes) <= 120
+    assert sorted(r["place"] for r in registry.read().collect()) == list(range(40, 110))

@@ -25,9 +25,11 @@ from logspark.llm.common import apart, slices
 SPACE = "▁"
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
 ROOT_PRIME = np.uint64(0x100000001B3)
-HELD_CHUNKS = 500_000
+# characters of the chunks whose lattices a task keeps: about 30 bytes each
+HELD_CHARS = 2 << 20
 INDEX_BITS = 20
-SLICE = 2 << 20
+# a lattice takes some hundred bytes a character while it is built
+SLICE = 1 << 19
 SEED = 11
 # how sharply the better segmentations are preferred: 0 all alike, large: the best only
 SHARPNESS = 1.0
@@ -242,18 +244,21 @@ class Encoder:
         self.numbers = Numbers()
         self.parts: list[Lattices] = []
         self.sizes: list[int] = []
+        self.held = 0
 
     def encode(self, keys: list[bytes], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and how many each text has."""
-        if len(self.numbers) > HELD_CHUNKS:
-            self.numbers, self.parts, self.sizes = Numbers(), [], []
+        if self.held > HELD_CHARS:
+            self.numbers, self.parts, self.sizes, self.held = Numbers(), [], [], 0
         numbers = self.numbers
         known = len(numbers)
         cut = [CHUNK.findall(t) for t in texts]
         per_text = np.fromiter(map(len, cut), np.int64, len(cut))
         places = np.fromiter(map(numbers.__getitem__, chain.from_iterable(cut)), np.int64, int(per_text.sum()))
         if len(numbers) > known:
-            self.parts.append(Lattices(list(islice(numbers, known, None)), self.vocabulary))
+            new = list(islice(numbers, known, None))
+            self.held += sum(map(len, new))
+            self.parts.append(Lattices(new, self.vocabulary))
             self.sizes.append(known)
         rows = np.array([xxhash.xxh64_intdigest(k, self.seed) for k in keys], np.uint64)
         inside = np.arange(len(places)) - np.repeat(np.cumsum(per_text) - per_text, per_text)

@@ -717,3 +717,10 @@ def test_extract_on_odd_rows(spark):
     got = html_text.extract(pages).collect()
     assert sorted((r["page_id"] or 0, r["n_chars"]) for r in got) == [(0, 1), (1, 0), (2, 0), (2, 0), (3, 199_999)]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_lattices_held_are_bounded_by_their_size(vocabulary):
+    encoder = pieces.Encoder(vocabulary, 1)
+    for i in range(8):
+        encoder.encode([b"k"] * 10, [" ".join(f"{i * 10**6 + j * 10**4 + n:0100d}" for n in range(500)) for j in range(10)])
+    assert sum(len(lattices.first) for lattices in encoder.parts) < 3_000_000

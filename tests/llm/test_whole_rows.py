@@ -84,3 +84,24 @@ def test_members_outside_the_largest_group_meet_by_rare_shingles(spark, monkeypa
     monkeypatch.setattr(near_copies, "SMALL_BUCKET", 2)
     texts = [words_of(s, 120, 5000).rsplit(" ", k)[0] for s in range(4) for k in range(1, 8)]
     assert sorted(r["doc_id"] for r in near_copies.keep_one(docs_of(spark, list(enumerate(texts)))).collect()) == first_of_groups(texts)
+
+
+def test_equal_signatures_alone_make_no_near_copies(spark):
+    """A short text made of the shingles that give a long one its signature, joined so that none is smaller."""
+    a = words_of(9, 3000, 4000).split()
+    windows = list(near_copies.shingles(" ".join(a).encode()))[0]
+    values = windows[:, None] * near_copies.FACTORS + near_copies.TERMS
+    least, rng = values.min(0), random.Random(3)
+    small = lambda words: any(
+        ((x[:, None] * near_copies.FACTORS + near_copies.TERMS) < least).any() for x in near_copies.shingles(" ".join(words).encode())
+    )
+    b: list[str] = []
+    for i in sorted(set(values.argmin(0).tolist())):
+        part = a[i : i + 5]
+        while small(b[-4:] + part):
+            part = [f"x{rng.randrange(10**9)}", *a[i : i + 5]]
+        b += part
+    texts = [" ".join(a), " ".join(b)]
+    assert first_of_groups(texts) == [0, 1]
+    docs = docs_of(spark, list(enumerate(texts)))
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == [0, 1]

@@ -719,6 +719,23 @@ def test_extract_on_odd_rows(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_n_grams_keep_their_own_values_and_a_small_model_leaves_none_out(spark, monkeypatch):
+    texts = [words_of(i, 150, 3000) for i in range(60)] + [words_of(90, 80) + " %%%%%% &&&& unseen"]
+    frame = docs_of(spark, [*enumerate(texts), (200, texts[3]), (201, None), (202, "")])
+    counts = perplexity.count_grams(docs_of(spark, list(enumerate(texts))), "text")
+    table = {r["gram"]: r["p"] for r in perplexity.kneser_ney(counts)[-1].collect()}
+    model = perplexity.Model(*perplexity.train(frame).value).opened()
+    keys = np.array(sorted(table), np.int64)
+    assert np.abs(model.score(keys) - 1e6 * np.log([table[int(k)] for k in keys])).max() <= 1
+    whole = sorted(map(tuple, perplexity.assess(frame).collect()))
+    kept = sorted(r["doc_id"] for r in perplexity.keep_good(frame).collect())
+    for held in (len(keys) // 3, 0):
+        monkeypatch.setattr(perplexity, "HELD_GRAMS", held)
+        assert not perplexity.train(frame).value[-1]
+        assert sorted(map(tuple, perplexity.assess(frame).collect())) == whole
+        assert sorted(r["doc_id"] for r in perplexity.keep_good(frame).collect()) == kept
+
+
 def test_lattices_held_are_bounded_by_their_size(vocabulary):
     encoder = pieces.Encoder(vocabulary, 1)
     for i in range(8):

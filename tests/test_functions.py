@@ -119,3 +119,10 @@ def test_gaps_do_not_depend_on_the_range_size(spark):
         sorted((r.offset, r.gap_us) for r in tl.replay_gaps(lines, n).select("offset", "gap_us").collect()) for n in (7, 10_000)
     ]
     assert results[0] == results[1]
+
+
+def test_a_file_of_one_row_group_is_rendered_by_many_tasks(spark):
+    from logspark.plans import render
+
+    assert spark.read.parquet("/root/testdata/sf0.1/events.parquet").rdd.getNumPartitions() == 1
+    assert render.json_events(spark, "/root/testdata/sf0.1").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -32,7 +32,16 @@ from logspark.streaming.sinks import FACT_STATE, read_finished, start_sinks, wri
 from logspark.streaming.views import Views, start_views
 
 COLUMNS = [part.split()[0] for part in ENVELOPE.split(", ")]
-FILES = {"maxFilesPerTrigger": "2"}
+
+
+def _write_halves(rows, path):
+    """Add rows to a folder in files for two micro-batches; the options to read them by.
+
+    Each half is as many files as there are tasks, as a file of one row group is one task, however many rows it has.
+    """
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    rows.select(*COLUMNS).repartition(2 * tasks, "offset").write.mode("append").parquet(path)
+    return {"maxFilesPerTrigger": str(tasks)}
 
 
 def _asset_messages(spark, sf):
@@ -46,9 +55,9 @@ def _asset_messages(spark, sf):
 
 @query("stream_enrich", J + f"SELECT event_id, coalesce(hit_host, host) AS host, {LABEL} AS direction FROM res")
 def stream_enrich(spark, sf):
-    """Assets arrive in the first micro-batch, events in the ones after it."""
+    """Assets arrive in the first micro-batch, events in the two after it."""
     source = render.scratch_path(spark, "in")
-    _asset_messages(spark, sf).select(*COLUMNS).repartition(1, "topic").write.parquet(source)
+    _asset_messages(spark, sf).select(*COLUMNS).write.parquet(source)
     work, target = render.scratch_path(spark, "work"), render.scratch_path(spark, "out")
 
     def sink(enriched, batch_id):
@@ -56,17 +65,15 @@ def stream_enrich(spark, sf):
         rows = enriched.select(F.col("offset").alias("event_id"), g["Host"].alias("host"), g["DirectionString"].alias("direction"))
         rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    def run():
-        stream = read_events(spark, source, "earliest", options=FILES)
+    def run(options=None):
+        stream = read_events(spark, source, "earliest", options=options)
         registry = Registry(spark, f"{work}/registry", INDEX_SCHEMA)
         topics = parse_topic_map(render.TOPIC_MAP)
         tech = technique_lookup(render.techniques(spark, sf))
         start_enrich(stream, registry, "assets", topics, tech, sink, f"{work}/checkpoint", once=True).awaitTermination()
 
     run()
-    events = render.json_events(spark, sf).select(*COLUMNS)
-    events.repartition(4, "offset").write.mode("append").parquet(source)
-    run()
+    run(_write_halves(render.json_events(spark, sf), source))
     return spark.read.parquet(target).select("event_id", "host", "direction")
 
 
@@ -91,10 +98,10 @@ def stream_registry(spark, sf):
 @query("stream_preprocess", EV + """SELECT kind, count(*) AS n FROM ev WHERE kind='windows' OR (kind<>'sysmon' AND k%10<>9 AND (kind<>'syslog' OR k%20 NOT IN (3,13))) GROUP BY 1""")
 def stream_preprocess(spark, sf):
     source, work = render.scratch_path(spark, "in"), render.scratch_path(spark, "work")
-    render.raw_lines(spark, sf).select(*COLUMNS).repartition(4, "offset").write.parquet(source)
+    options = _write_halves(render.raw_lines(spark, sf), source)
     topics = parse_topic_map(render.TOPIC_MAP)
     job = lambda df: preprocess(with_kind(df, topics).drop("_error"))
-    stream = read_events(spark, source, "earliest", options=FILES)
+    stream = read_events(spark, source, "earliest", options=options)
     start_parse(stream, job, f"{work}/out", f"{work}/checkpoint", once=True).awaitTermination()
     done = spark.read.parquet(f"{work}/out")
     return done.filter(F.col("_error").isNull()).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))

@@ -225,3 +225,21 @@ def test_a_batch_ranks_only_the_places_that_it_may_need(spark, monkeypatch):
     assign_aliases(registry, pool, new, 1)
     assert max(sizes) <= 120
     assert sorted(r["place"] for r in registry.read().collect()) == list(range(40, 110))
+
+
+def test_batches_of_events_are_enriched_by_all_tasks(spark, monkeypatch):
+    from logspark.plans import q_streams
+
+    tasks, start = [], q_streams.start_enrich
+
+    def watched(stream, registry, assets, topics, techniques, sink, checkpoint, once):
+        def each(enriched, batch_id):
+            tasks.append(enriched.select(F.spark_partition_id()).distinct().count())
+            sink(enriched, batch_id)
+
+        return start(stream, registry, assets, topics, techniques, each, checkpoint, once=once)
+
+    monkeypatch.setattr(q_streams, "start_enrich", watched)
+    rows = q_streams.stream_enrich(spark, "/root/testdata/sf0.001")
+    # one batch of assets, which holds no events, and two of events
+    assert tasks == [0, 4, 4] and rows.count() == rows.select("event_id").distinct().count() == 1000

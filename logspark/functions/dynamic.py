@@ -34,11 +34,12 @@ def _prefixes(path: str, strict: bool) -> list[list[str]]:
 
 
 def string_sql(v: str, path: str, strict: bool = False) -> str:
-    """JSON string at ``path``, else null."""
-    options = [
-        f"CASE WHEN schema_of_variant({_get(v, p)}) = 'STRING' THEN {_get(v, p, 'string')} END"
-        for p in _prefixes(path, strict)
-    ]
+    """JSON string at ``path``, else null.
+
+    Of all JSON values only a string casts to BINARY, so one look tells its type and gives its text; asking for the
+    type by ``schema_of_variant`` copies the value into a VARIANT of its own first.
+    """
+    options = [f"cast({_get(v, p, 'binary')} as string)" for p in _prefixes(path, strict)]
     return options[0] if len(options) == 1 else "coalesce(" + ", ".join(options) + ")"
 
 

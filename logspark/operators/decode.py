@@ -72,10 +72,15 @@ def is_alert(col: Column) -> Column:
     return F.coalesce(F.get_json_object(col, "$.event_type") == "alert", F.lit(False))
 
 
-def _typed(path: str) -> Column:
-    """JSON type name at a path of ``v``, null when absent or JSON null."""
+def _present(path: str) -> Column:
+    """Whether ``v`` has a value at a path, JSON null not counted; any value prints as text."""
+    return F.expr(f"try_variant_get(v, '{json_path(path.split('.'))}', 'string')").isNotNull()
+
+
+def _is_object(path: str) -> Column:
+    """Whether ``v`` has an object at a path; its type is only asked for where something is."""
     kind = F.expr(f"schema_of_variant(try_variant_get(v, '{json_path(path.split('.'))}', 'variant'))")
-    return F.nullif(kind, F.lit("VOID"))
+    return _present(path) & F.startswith(kind, F.lit("OBJECT"))
 
 
 def _text(path: str) -> Column:
@@ -86,11 +91,11 @@ def _record() -> Column:
     """Struct of syslog and command-audit fields; a missing text is empty, as in the wire format."""
     plain = [name for name in SYSLOG_FIELDS if name != "syslog_ip"] + list(AUDIT_FIELDS)
     ssh = F.when(
-        F.startswith(_typed("ssh"), F.lit("OBJECT")),
+        _is_object("ssh"),
         F.struct(
             *[_text(f"ssh.{name}").alias(name) for name in ("dst_port", "src_port")],
             *[canon_ip(_text(f"ssh.{name}")).alias(name) for name in ("dst_ip", "src_ip")],
-            *[_typed(f"ssh.{name}").isNotNull().alias(f"has_{name}") for name in ("dst_ip", "src_ip")],
+            *[_present(f"ssh.{name}").alias(f"has_{name}") for name in ("dst_ip", "src_ip")],
         ),
     )
     return F.struct(
@@ -112,8 +117,8 @@ def decode(df: DataFrame, col: str = "value") -> DataFrame:
     texts = list(SYSLOG_FIELDS) + list(AUDIT_FIELDS)
     not_text = F.lit(False)
     for name in texts:
-        not_text = not_text | F.coalesce(_typed(name) != "STRING", F.lit(False))
-    bad_time = _typed("@timestamp").isNotNull() & rfc3339(dot_string("v", "@timestamp", strict=True)).isNull()
+        not_text = not_text | (dot_string("v", name, strict=True).isNull() & _present(name))
+    bad_time = rfc3339(dot_string("v", "@timestamp", strict=True)).isNull() & _present("@timestamp")
     error = (
         F.when(~F.coalesce(F.col("kind").isin(*DYNAMIC_KINDS) | struct_kind, F.lit(False)), F.lit("invalid kind"))
         .when(F.col("v").isNull(), F.lit("not a JSON object"))

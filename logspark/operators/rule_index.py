@@ -3,14 +3,14 @@
 A condition whose top level is a list of conjuncts matches if each of them does. Conjuncts that compare a field with
 constants are atoms: an equality goes into a table from value to atoms, a substring into one automaton per field that
 finds the constants of all rules in one walk over the text. What else a condition says is its rest, a SQL text that is
-evaluated once per event, however many rules share it. A rule is looked at only for events that hold its rarest kind of
-atom, and matches if its other atoms and its rest hold too.
+evaluated once per event, however many rules share it. A rule is looked at only for events that hold one of its atoms, the
+one that the fewest rules have, and matches if its other atoms and its rest hold too.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -144,29 +144,41 @@ def split_condition(condition: str) -> tuple[list[Atom], str]:
     return atoms, " AND ".join(rest)
 
 
-# What a rule is looked at for: an equality, else a substring, else its rest.
+# What a rule may be looked at for; its rest only if it has no atom.
 EQUAL, INSIDE, REST = range(3)
 
 
 @dataclass
 class RuleIndex:
-    """Numbered atoms and rests, where to find them, and the rules that need them."""
+    """Numbered atoms and rests, where to find them, and what each rule needs."""
 
     numbers: dict[tuple, int] = field(default_factory=dict)
     equal: dict[str, dict[str | float, list[int]]] = field(default_factory=lambda: defaultdict(lambda: defaultdict(list)))
     inside: dict[str, dict[str, list[int]]] = field(default_factory=lambda: defaultdict(lambda: defaultdict(list)))
     rests: list[str] = field(default_factory=list)
-    # for an atom or rest: the rules that are looked at when it holds
-    rules: dict[int, list[int]] = field(default_factory=lambda: defaultdict(list))
+    kinds: dict[int, int] = field(default_factory=dict)
     needs: list[frozenset[int]] = field(default_factory=list)
 
     def add(self, atoms: list[tuple[str, Atom]], rest: str) -> None:
         """The next rule: its atoms with the column that each is about, and its rest, now about columns too."""
-        kinds = [(REST, self._rest(rest))]
+        kinds = {self._rest(rest): REST}
         for slot, atom in atoms:
-            kinds.append((EQUAL if atom.equal else INSIDE, self._atom(slot, atom)))
-        self.rules[min(kinds)[1]].append(len(self.needs))
-        self.needs.append(frozenset(n for _, n in kinds))
+            kinds[self._atom(slot, atom)] = EQUAL if atom.equal else INSIDE
+        self.kinds.update(kinds)
+        self.needs.append(frozenset(kinds))
+
+    @property
+    def rules(self) -> dict[int, list[int]]:
+        """For an atom or rest: the rules that are looked at when it holds.
+
+        An atom that many rules have, as a common user name, would have all of them looked at for every event that
+        holds it, so a rule goes to the one of its atoms that the fewest have.
+        """
+        shared = Counter(n for need in self.needs for n in need)
+        found = defaultdict(list)
+        for rule, need in enumerate(self.needs):
+            found[min(need, key=lambda n: (self.kinds[n] == REST, shared[n], self.kinds[n], n))].append(rule)
+        return dict(found)
 
     def _atom(self, slot: str, atom: Atom) -> int:
         key = (slot, atom.equal, atom.values)
@@ -200,7 +212,7 @@ def _matcher(equal: list[dict], inside: list[dict], rules: dict[int, list[int]],
             automaton.make_automaton()
             automata.append(automaton)
         for rests, *columns in batches:
-            held = [set(r) if r is not None else set() for r in rests]
+            held = [set(r.tolist()) if r is not None else set() for r in rests]
             for table, values in zip(equal, columns):
                 for own, value in zip(held, values):
                     if atoms := table.get(value):
@@ -226,5 +238,5 @@ def matches(df: DataFrame, index: RuleIndex, rests: str, out: str, listed: tuple
     equal, inside = sorted(index.equal.items()), sorted(index.inside.items())
     columns = [F.col(slot) for slot, _ in equal]
     columns += [F.array_join(slot, PARTED) if slot in listed else F.col(slot) for slot, _ in inside]
-    match = _matcher([dict(t) for _, t in equal], [dict(t) for _, t in inside], dict(index.rules), index.needs)
+    match = _matcher([dict(t) for _, t in equal], [dict(t) for _, t in inside], index.rules, index.needs)
     return df.withColumn(out, match(F.col(rests), *columns))

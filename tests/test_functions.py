@@ -3,6 +3,7 @@
 import ipaddress
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from logspark.functions.ip import address_halves, canon_ip, masked
@@ -126,3 +127,17 @@ def test_a_file_of_one_row_group_is_rendered_by_many_tasks(spark):
 
     assert spark.read.parquet("/root/testdata/sf0.1/events.parquet").rdd.getNumPartitions() == 1
     assert render.json_events(spark, "/root/testdata/sf0.1").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize(
+    ("value", "text"),
+    [('"x"', "x"), ('""', ""), ('"5"', "5"), (r'"\u0000é"', "\0é"), ('"2024-01-01"', "2024-01-01"), ("5", None), ("1.5", None), ("1e300", None),
+     ("12345678901234567890123", None), ("true", None), ("null", None), ("[1]", None), ('["x"]', None), ('{"b":"c"}', None), ("{}", None)],
+)
+def test_only_a_json_string_is_text(spark, value, text):
+    from logspark.functions.dynamic import dot_string, parse_object
+
+    rows = spark.createDataFrame([(f'{{"a":{value}}}',)], "raw string").select(parse_object("raw").alias("v"))
+    # a walk that meets the value on its way answers with it, unless it is strict
+    found = rows.select(dot_string("v", "a").alias("a"), dot_string("v", "a.x").alias("b"), dot_string("v", "a.x", strict=True).alias("c")).first()
+    assert tuple(found) == (text, text, None)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from logspark.operators.decode import decode
-from logspark.operators.rule_index import Atom, conjuncts, split_condition
+from logspark.operators.rule_index import Atom, RuleIndex, conjuncts, split_condition
 from logspark.operators.rules import load_rules, match_rules
 from logspark.plans import render
 from logspark.plans.q_enrich import RULE_ROWS, many_rules, rules_table
@@ -93,3 +93,13 @@ def test_rules_do_not_add_stages_or_shuffles(spark):
     plan = match_rules(decode(render.json_events(spark, SMALL)), rules)._jdf.queryExecution().executedPlan().toString()
     # the events are rendered from a table; nothing else is exchanged
     assert plan.count("ArrowEvalPython") == 1 and "BroadcastExchange" not in plan.split("ArrowEvalPython")[0]
+
+
+def test_a_rule_is_looked_at_for_what_few_rules_share():
+    index = RuleIndex()
+    for *_, condition in many_rules(2000):
+        atoms, rest = split_condition(condition)
+        index.add([(a.name, a) for a in atoms], rest)
+    # hundreds of them name the user root, or a host by how it begins
+    assert sorted(n for rules in index.rules.values() for n in rules) == list(range(2000))
+    assert max(map(len, index.rules.values())) <= 2
